@@ -38,7 +38,8 @@ _MARK = "\u0001"
 def answer_section(response: Column) -> Column:
     """Text between the answer and end markers, or the response as it is."""
     found = strip(F.regexp_extract(response, ANSWER_SECTION, 1))
-    return F.when(response.rlike(ANSWER_SECTION), found).otherwise(response)
+    marked = response.contains("###") & response.rlike(ANSWER_SECTION)
+    return F.when(marked, found).otherwise(response)
 
 
 def _printed_keywords(text: Column) -> Column:

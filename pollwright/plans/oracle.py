@@ -195,3 +195,67 @@ def pivoted(cell: str, column: str = "dir_task") -> str:
     SELECT f.format, {shown}
     FROM (SELECT unnest({items(FORMATS)}) AS format) f LEFT JOIN texts USING (format)
     GROUP BY f.format"""
+
+
+def document_keys(n: str) -> str:
+    return f"""'ds' || ({n} % 5) AS dataset, {items(TASKS)}[CAST({n} % 6 AS INT) + 1] AS task,
+    'case_' || ({n} // 30 + 1) AS case_id"""
+
+
+DOCUMENTS = f"""docs AS (
+  SELECT {document_keys('doc_id')}, format, '[' || format || ' export]' || chr(10) || text AS content
+  FROM documents CROSS JOIN
+    (SELECT unnest({items(FORMATS)}) AS format, unnest(range({len(FORMATS)})) AS i)
+  WHERE doc_id % 7 <> i)"""
+
+SKIPS = f"skips AS (SELECT DISTINCT {document_keys('doc_id')} FROM labels WHERE toxic = 1)"
+
+
+def _section(i: int, name: str) -> str:
+    body = text(TEMPLATE[name])
+    if name == "task":
+        upper = text(TEMPLATE[name].replace("[question]", "[QUESTION]"))
+        body = f"CASE WHEN u.conv_id % 3 = 0 THEN {upper} ELSE {body} END"
+    return f"CASE WHEN u.conv_id % 8 = {i} THEN '' ELSE {body} END"
+
+
+ITEMS = f"""items AS (
+  SELECT {document_keys('u.conv_id')}, u.conv_id * 1000 + u.turn AS pos,
+    'topic-' || (u.conv_id % 4) AS topic,
+    u.text || CASE WHEN u.conv_id % 5 = 0 THEN ' (see [TOPIC] in [questionnaire])' ELSE '' END AS question,
+    coalesce(a.text, '') AS expected_answer,
+    {" || ".join(_section(i, s) for i, s in enumerate(TEMPLATE))} AS prompt,
+    u.turn AS attempts, 'Focus on [TOPIC].' AS request
+  FROM conversations u LEFT JOIN conversations a
+    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  WHERE u.role = 'user')"""
+
+
+def _with_content(x: str) -> str:
+    block = "'[Insert the full data block here]'"
+    return f"replace(replace({x}, {block}, content), '[questionnaire]', content)"
+
+
+def _filled() -> str:
+    p = "prompt"
+    for key in ("case_id", "topic", "question", "expected_answer", "prompt", "attempts", "request"):
+        value = "CAST(attempts AS VARCHAR)" if key == "attempts" else _with_content(key)
+        p = f"replace({p}, '[{key.upper()}]', {value})"
+    p = f"replace({p}, '[questionnaire]', content)"
+    p = f"replace({p}, '[question]', question)"
+    p = f"replace({p}, '[CASE_1]', example)"
+    return f"replace({p}, '[Insert the full data block here]', content)"
+
+
+FILLED = f"""{ITEMS}, {DOCUMENTS}, {SKIPS},
+firsts AS (SELECT dataset, task, arg_min(question, pos) AS q, arg_min(expected_answer, pos) AS e
+  FROM items WHERE case_id = 'case_1' GROUP BY ALL),
+examples AS (SELECT dataset, task, format,
+    content || chr(10) || chr(10) || 'Question: ' || q || chr(10) || 'Answer: ' || e AS example
+  FROM docs JOIN firsts USING (dataset, task) WHERE case_id = 'case_1'),
+joined AS (SELECT i.*, d.format, d.content, coalesce(x.example, '[CASE_1 data not available]') AS example,
+    CASE WHEN s.case_id IS NULL THEN 'FALSE' ELSE 'TRUE' END AS skip
+  FROM items i JOIN docs d USING (dataset, task, case_id)
+  LEFT JOIN examples x USING (dataset, task, format)
+  LEFT JOIN skips s USING (dataset, task, case_id)),
+filled AS (SELECT * EXCLUDE (prompt), {_filled()} AS prompt FROM joined)"""
