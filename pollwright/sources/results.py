@@ -137,7 +137,7 @@ def _split_outside(text: str) -> list[str]:
     return parts if parts[-1] else parts[:-1]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def outer_fields(texts: pd.Series) -> pd.Series:
     """Fields between commas outside quotes, braces and brackets.
 
