@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,15 +29,20 @@ def discover(files: DataFrame, base: str) -> DataFrame:
     return files.select("*", *_keys(base)).filter(F.col("format").isNotNull())
 
 
-def _standard(spark: SparkSession, base: str) -> DataFrame:
+def _rows(spark: SparkSession, base: str) -> DataFrame:
+    """All CSV records by position, header lines among them, with their path."""
     rows = (
         spark.read.schema(SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{paths.RESULT_SUFFIX}")
-        .csv(base, header=True, multiLine=True, quote='"', escape='"', enforceSchema=True)
+        .csv(base, header=False, multiLine=True, quote='"', escape='"')
         .select("*", F.col("_metadata.file_path").alias("_path"))
     )
-    return valid_cases(discover(rows.na.fill(""), base))
+    return discover(rows.na.fill(""), base)
+
+
+def _is_header() -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c) == c for c in RESULT_COLUMNS))
 
 
 def _texts(spark: SparkSession, source: str | list[str]) -> DataFrame:
@@ -47,12 +54,18 @@ def _texts(spark: SparkSession, source: str | list[str]) -> DataFrame:
     )
 
 
-def _broken_files(spark: SparkSession, base: str, good: DataFrame) -> DataFrame:
-    """Whole texts of the files without any valid row.
+def _standard_and_broken(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Valid rows of well-formed files, and the whole texts of the others.
 
-    Their paths are looked up first, so that usually only those files are read
-    as texts; beyond ``MAX_LISTED`` of them the texts are matched by a join.
+    A file is well formed if it has the header and a valid row. The paths of
+    the others are looked up first, so that usually only those files are read
+    as texts; beyond ``MAX_LISTED`` of them both sides are matched by joins.
     """
+    rows = _rows(spark, base)
+    header = _is_header()
+    valid = valid_cases(rows.filter(~header))
+    seen = rows.filter(header).select("_path").distinct()
+    well_formed = valid.select("_path").distinct().join(seen, "_path", "left_semi")
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -60,34 +73,37 @@ def _broken_files(spark: SparkSession, base: str, good: DataFrame) -> DataFrame:
         .load(base)
         .select(F.col("_metadata.file_path").alias("_path"))
     )
-    broken = discover(listed, base).select("_path").join(
-        good.select("_path").distinct(), "_path", "left_anti"
-    )
+    broken = discover(listed, base).select("_path").join(well_formed, "_path", "left_anti")
     found = [row[0] for row in broken.limit(MAX_LISTED + 1).collect()]
     if not found:
-        return discover(_texts(spark, base).limit(0), base)
+        return valid, discover(_texts(spark, base).limit(0), base)
     if len(found) <= MAX_LISTED:
-        return discover(_texts(spark, found), base)
-    return discover(_texts(spark, base), base).join(broken, "_path", "left_semi")
+        # The path filter also keeps the scan from opening those files.
+        return valid.filter(~F.col("_path").isin(found)), discover(_texts(spark, found), base)
+    texts = discover(_texts(spark, base), base)
+    return (
+        valid.join(broken, "_path", "left_anti"),
+        texts.join(broken, "_path", "left_semi"),
+    )
 
 
 def read_results(spark: SparkSession, base: str) -> DataFrame:
     """Rows of ``{base}/{dataset}/{task}/*_{format}_converted_prompts.csv``.
 
-    Files are read by position in the standard column order; the last column,
-    ``skip``, may be absent. A file without a valid row goes through
+    Columns are read by position in the standard order; the last, ``skip``,
+    may be absent. A file without the header or a valid row goes through
     :func:`recovered`. A quoted CSV file is read by one task, so convert large
     ones to a partitioned table once (:func:`operators.sinks.write_results`).
     """
-    good = _standard(spark, base)
+    good, broken = _standard_and_broken(spark, base)
     kept = [*KEYS, *PROMPT_COLUMNS]
-    repaired = recovered(_broken_files(spark, base, good)).withColumn("skip", F.lit(""))
+    repaired = recovered(broken).withColumn("skip", F.lit(""))
     return good.select(*kept).unionByName(repaired.select(*kept))
 
 
 def quarantined(spark: SparkSession, base: str) -> DataFrame:
     """Records of broken files that cannot be recovered, with the reason."""
-    broken = _broken_files(spark, base, _standard(spark, base))
+    _, broken = _standard_and_broken(spark, base)
     return parsed_records(broken).filter(F.col("problem").isNotNull()).select(*KEYS, "record", "problem")
 
 
