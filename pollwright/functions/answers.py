@@ -28,9 +28,7 @@ _PLAIN = r"-?(?:0|[1-9]\d*+)(?:\.\d++)?+|None|True|False|null|true|false"
 _ITEM = rf"(?:{_STRING}|{_PLAIN})"
 _LIST = rf"(?s)\A\[\s*+(?:{_ITEM}(?:\s*+,\s*+{_ITEM})*+\s*+,?+)?+\s*+\]\z"
 _ITEM_CONTENT = (
-    r"""(?s)\s*+(?:'\s*+((?:[^'\\\s]|\s++(?!')|\\.)*+)\s*+'"""
-    r"""|"\s*+((?:[^"\\\s]|\s++(?!")|\\.)*+)\s*+\""""
-    r"""|([^\s,\[\]'"]++))\s*+,?+\s*+"""
+    r"""(?s)\s*+(?:'((?:[^'\\]|\\.)*+)'|"((?:[^"\\]|\\.)*+)"|([^\s,]++))\s*+,?+\s*+"""
 )
 _MARK = "\u0001"
 
@@ -52,8 +50,7 @@ def _printed_keywords(text: Column) -> Column:
 def unquoted(expected: Column) -> Column:
     """Strip, then drop one pair of equal outer quotes and strip again."""
     bare = strip(F.coalesce(expected, F.lit("")))
-    inner = strip(F.regexp_replace(bare, r"""(?s)\A(?:"(.*)"|'(.*)'|["'])\z""", "$1$2"))
-    return F.when(F.substring(bare, 1, 1).isin('"', "'"), inner).otherwise(bare)
+    return strip(F.regexp_replace(bare, r"""(?s)\A(?:"(.*)"|'(.*)'|["'])\z""", "$1$2"))
 
 
 def is_literal_list(text: Column) -> Column:
@@ -62,12 +59,17 @@ def is_literal_list(text: Column) -> Column:
 
 
 def literal_items(text: Column) -> Column:
-    """Items of a bracketed list of literals."""
+    """Items of a bracketed list of literals.
+
+    Each item, quotes taken off, is marked in one pass; escaped quotes and
+    backslashes are then read and blanks at the ends dropped item by item.
+    """
     body = F.substring(text, F.lit(2), F.length(text) - 2)
     marked = F.regexp_replace(body, _ITEM_CONTENT, f"{_MARK}$1$2$3")
-    plain = F.regexp_replace(marked, r"""\\(['"\\])""", "$1")
-    items = F.split(F.substring(plain, 2, 1 << 30), _MARK, -1)
-    return F.when(text.rlike(r"\A\[\s*+\]\z"), F.array().cast("array<string>")).otherwise(items)
+    return F.transform(
+        F.slice(F.split(marked, _MARK, -1), 2, 1 << 30),
+        lambda item: strip(F.regexp_replace(item, r"""\\(['"\\])""", "$1")),
+    )
 
 
 def comma_parts(text: Column) -> Column:

@@ -11,6 +11,7 @@ from pollwright.constants import FORMATS
 DOCUMENT_PATH = r"([^/]+)/([^/]+)/([^/]+)/([^/]+)\.([^/.]+)$"
 RESULT_SUFFIX = "_converted_prompts.csv"
 ITEMS_SUFFIX = "_qa_pairs"
+FORMAT_TAG = rf"_({'|'.join(FORMATS)})_converted_prompts\.csv"
 # ----------------------------------------------------------------------------
 
 
@@ -26,11 +27,8 @@ def is_document(path: Column) -> Column:
 
 
 def format_tag(file_name: Column) -> Column:
-    """First known format in a result file's name, null where there is none."""
-    tagged = F.when(F.lit(False), F.lit(""))
-    for name in FORMATS:
-        tagged = tagged.when(file_name.contains(f"_{name}{RESULT_SUFFIX}"), F.lit(name))
-    return tagged
+    """The known format in a result file's name, null where there is none."""
+    return F.nullif(F.regexp_extract(file_name, FORMAT_TAG, 1), F.lit(""))
 
 
 def relative_to(path: Column, base: str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pollwright.functions.answers import numbers
-from pollwright.functions.text import normalise, strip
+from pollwright.functions.text import strip
 
 
 @dataclass(frozen=True)
@@ -23,13 +23,15 @@ class Reply:
 
     ``raw`` is the answer, ``clean`` its normal form and ``found`` the
     identifiers in it, computed for ``SET_TASKS`` only; ``expected`` is the
-    expected text, ``items`` what it lists, ``is_list`` whether it is a list.
+    expected text, ``wanted`` its normal form in lower case, computed for other
+    tasks only, ``items`` what it lists, ``is_list`` whether it is a list.
     """
 
     raw: Column
     clean: Column
     found: Column
     expected: Column
+    wanted: Column
     items: Column
     is_list: Column
 
@@ -45,7 +47,7 @@ def same_identifiers(reply: Reply) -> Column:
 
 def contains_text(reply: Reply) -> Column:
     """The expected text occurs in the response, whatever the case."""
-    return F.lower(reply.clean).contains(F.lower(normalise(reply.expected)))
+    return F.lower(reply.clean).contains(reply.wanted)
 
 
 def names_number(reply: Reply) -> Column:

@@ -16,7 +16,7 @@ from pollwright.constants import (
     REORDERED_SECTIONS,
     SECTIONS,
 )
-from pollwright.functions.text import SPACE, strip
+from pollwright.functions.text import SPACE, WHITESPACE, strip
 
 _TAG = "(?:" + "|".join(SECTIONS) + ")"
 
@@ -81,10 +81,16 @@ def drop_section(prompt: Column, name: str) -> Column:
 
 
 def unwrap_sections(prompt: Column) -> Column:
-    """Remove section tags, keep what they hold, leave at most one blank line."""
+    """Remove section tags, keep what they hold, leave at most one blank line.
+
+    Blanks after an opening and before a closing tag go too. Trimming the
+    pieces between closing tags spares a scan for blanks that precede one.
+    """
     opened = F.regexp_replace(prompt, rf"<{_TAG}>{SPACE}*+", "")
-    closed = F.regexp_replace(opened, rf"{SPACE}*</{_TAG}>", "")
-    return F.regexp_replace(closed, r"\n{3,}+", "\n\n")
+    pieces = F.transform(
+        F.split(opened, f"</{_TAG}>", -1), lambda piece: F.rtrim(piece, F.lit(WHITESPACE))
+    )
+    return F.regexp_replace(F.array_join(pieces, ""), r"\n{3,}+", "\n\n")
 
 
 def reorder_sections(prompt: Column) -> Column:

@@ -22,8 +22,11 @@ def is_skipped(skip: Column) -> Column:
     return F.coalesce(F.upper(strip(skip)) == "TRUE", F.lit(False))
 
 
+_INPUTS = ["_raw", "_clean", "_found", "_expected", "_wanted", "_items", "_is_list"]
+
+
 def _reply() -> Reply:
-    return Reply(*map(F.col, ("_raw", "_clean", "_found", "_wanted", "_items", "_is_list")))
+    return Reply(*map(F.col, _INPUTS))
 
 
 def _prepared(results: DataFrame, answer: Column, name: Column) -> DataFrame:
@@ -32,12 +35,17 @@ def _prepared(results: DataFrame, answer: Column, name: Column) -> DataFrame:
     Each is used several times, so Catalyst keeps these projections apart
     instead of repeating their regular expressions inside the rules.
     """
-    wanted = F.coalesce(F.col("expected_answer"), F.lit(""))
-    found = F.when(F.col("_rule").isin(SET_TASKS), identifier_set(F.col("_clean")))
+    expected = F.coalesce(F.col("expected_answer"), F.lit(""))
+    sets = F.col("_rule").isin(SET_TASKS)
     rows = (
-        results.withColumns({"_raw": answer, "_rule": name, "_wanted": wanted})
-        .withColumn("_clean", normalise(F.col("_raw")))
-        .withColumn("_found", found)
+        results.withColumns({"_raw": answer, "_rule": name, "_expected": expected})
+        .withColumns(
+            {
+                "_clean": normalise(F.col("_raw")),
+                "_wanted": F.when(~sets, F.lower(normalise(F.col("_expected")))),
+            }
+        )
+        .withColumn("_found", F.when(sets, identifier_set(F.col("_clean"))))
     )
     return with_items(rows, F.col("expected_answer"), "_is_list", "_items")
 
@@ -45,9 +53,7 @@ def _prepared(results: DataFrame, answer: Column, name: Column) -> DataFrame:
 def _judged(rows: DataFrame, right: Column) -> DataFrame:
     """Blank answers are wrong whatever the rule."""
     verdict = F.when(is_blank(F.col("_raw")), False).otherwise(right)
-    return rows.withColumn("is_correct", verdict).drop(
-        "_raw", "_rule", "_wanted", "_clean", "_found", "_is_list", "_items"
-    )
+    return rows.withColumn("is_correct", verdict).drop("_rule", *_INPUTS)
 
 
 def apply_rule(results: DataFrame, task: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 import pandas as pd
@@ -131,26 +132,30 @@ _HEAD = rf"(?s)\A(case_\w+),(?:({'|'.join(TASKS)}),)?(.*)\z"
 # ----------------------------------------------------------------------------
 
 
+_SPECIAL = re.compile(r'["{}\[\],]')
+_STEP = {"{": (0, 1), "}": (0, -1), "[": (1, 1), "]": (1, -1)}
+
+
 def _split_outside(text: str) -> list[str]:
     """Split on commas outside quotes, braces and brackets.
 
     A quote after a backslash does not open or close; depth may go below zero.
     """
-    cuts, quoted, depth = [], False, {"{": 0, "[": 0}
-    for i, char in enumerate(text):
+    parts, start, quoted, depth = [], 0, False, [0, 0]
+    for match in _SPECIAL.finditer(text):
+        char, at = match.group(), match.start()
         if char == '"':
-            quoted ^= i == 0 or text[i - 1] != "\\"
+            quoted ^= at == 0 or text[at - 1] != "\\"
         elif quoted:
             continue
-        elif char in "{[":
-            depth[char] += 1
-        elif char in "}]":
-            depth["{" if char == "}" else "["] -= 1
-        elif char == "," and not any(depth.values()):
-            cuts.append(i)
-    edges = [-1, *cuts, len(text)]
-    parts = [text[a + 1 : b].strip() for a, b in zip(edges, edges[1:], strict=False)]
-    return parts if parts[-1] else parts[:-1]
+        elif char != ",":
+            which, step = _STEP[char]
+            depth[which] += step
+        elif depth == [0, 0]:
+            parts.append(text[start:at].strip())
+            start = at + 1
+    last = text[start:].strip()
+    return [*parts, last] if last else parts
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
