@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,15 +25,3 @@ def local_session(cores: str = "8", app: str = "pollwright") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the executors")
-    made = tempfile.mkdtemp(prefix="pollwright-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made

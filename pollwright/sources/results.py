@@ -185,7 +185,14 @@ def parsed_records(files: DataFrame) -> DataFrame:
             "task": F.regexp_extract("_front", _HEAD, 2),
             "_rest": F.regexp_extract("_front", _HEAD, 3),
         }
-    ).withColumn("_fields", outer_fields(F.col("_rest")))
+    )
+    headed = (F.col("case_id") != "") & (F.col("task") != "")
+    rows = rows.withColumn("_fields", outer_fields(F.when(headed, F.col("_rest"))))
+    # Filters do not pass a generator, so the Python step runs once per record.
+    found = ["Response", "Correct", "case_id", "task", "_fields"]
+    rows = rows.select(
+        *[c for c in files.columns if c != "value"], "record", F.inline(F.array(F.struct(*found)))
+    )
     problem = (
         F.when(F.col("case_id") == "", "no case id")
         .when(F.col("task") == "", "no known task")
@@ -196,9 +203,7 @@ def parsed_records(files: DataFrame) -> DataFrame:
         for i, name in enumerate(["question", "questionnaire", "expected_answer", "prompt"])
     }
     rows = rows.withColumns({**middle, "problem": problem})
-    return rows.withColumns({c: unescape_csv(F.col(c)) for c in RESULT_COLUMNS}).drop(
-        "_front", "_rest", "_fields"
-    )
+    return rows.withColumns({c: unescape_csv(F.col(c)) for c in RESULT_COLUMNS}).drop("_fields")
 
 
 def recovered(files: DataFrame) -> DataFrame:
