@@ -12,20 +12,21 @@ bounded while every text is encoded whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 from pollwright.llm.common import columns
 
 MARK = "▁"
-#: Entries of a task's chunk table, characters of an entry, characters encoded at once.
-TABLE_CHUNKS = 400_000
+#: Entries of a task's chunk table, characters of an entry, bytes of text encoded at once.
+TABLE_CHUNKS = 150_000
 ENTRY_CHARS = 64
-BLOCK_CHARS = 400_000
+BLOCK_BYTES = 400_000
 
 
 def load(model: str):
@@ -49,73 +50,57 @@ class ChunkTable:
 
     def __init__(self, processor) -> None:
         self.processor, self.find = processor, re.compile(f"{MARK}+[^{MARK}]*").findall
-        self.alone = np.array([processor.piece_to_id(MARK)], np.int32)
-        self.clear()
+        self.known: dict[str, list[int]] = {}
+        self.alone = [processor.piece_to_id(MARK)]
 
-    def clear(self) -> None:
-        self.known: dict[str, np.ndarray] = {}
-
-    def segment(self, chunk: str) -> np.ndarray:
-        if chunk == MARK:
-            return self.alone
+    def segment(self, chunks: list[str]) -> None:
         # encode() puts the first marker back
-        return np.array(self.processor.encode(chunk[1:].replace(MARK, " ")), np.int32)
-
-    def ids(self, chunk: str) -> np.ndarray:
-        found = self.known.get(chunk)
-        if found is None:
-            found = self.segment(chunk)
-            if len(chunk) <= ENTRY_CHARS:
-                self.known[chunk] = found
-        return found
+        found = self.processor.encode([c[1:].replace(MARK, " ") for c in chunks], num_threads=1)
+        self.known.update(zip(chunks, found, strict=True))
+        if MARK in self.known:
+            self.known[MARK] = self.alone
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         marked = [self.find(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        row = {c: i for i, c in enumerate({c for chunks in marked for c in chunks})}
-        entries = [self.ids(c) for c in row]
+        here = set().union(*marked)
+        new = [c for c in here if c not in self.known]
+        self.segment(new)
+        row = {c: i for i, c in enumerate(here)}
+        entries = [self.known[c] for c in row]
         length = np.fromiter(map(len, entries), np.int64, len(entries))
         start = np.cumsum(length) - length
-        flat = np.concatenate(entries) if entries else np.empty(0, np.int32)
+        flat = np.fromiter(chain.from_iterable(entries), np.int32, int(length.sum()))
         found = []
         for chunks in marked:
             rows = np.fromiter(map(row.__getitem__, chunks), np.int64, len(chunks))
             n = length[rows]
             ends = np.cumsum(n)
-            within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n)
-            found.append(flat[np.repeat(start[rows], n) + within])
+            within = np.arange(ends[-1] if len(ends) else 0)
+            found.append(flat[within + np.repeat(start[rows] - ends + n, n)])
+        for chunk in new:
+            if len(chunk) > ENTRY_CHARS:
+                del self.known[chunk]
         if len(self.known) > TABLE_CHUNKS:
-            self.clear()
+            self.known.clear()
         return found
 
 
-def blocks(texts: list[str]) -> Iterator[list[str]]:
-    """Neighbouring texts of about ``BLOCK_CHARS`` characters together."""
-    block, size = [], 0
-    for text in texts:
-        block.append(text)
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts of neighbouring rows with about ``BLOCK_BYTES`` of text together."""
+    sizes = np.cumsum([n or 0 for n in pc.binary_length(batch["text"]).to_pylist()])
+    begin = 0
+    while begin < len(sizes):
+        before = sizes[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, before + BLOCK_BYTES, "right")))
+        rows = batch.slice(begin, end - begin)
+        yield rows["doc_id"], [t or "" for t in rows["text"].to_pylist()]
+        begin = end
 
 
-def encoder(model: str) -> Callable[[Column], Column]:
-    """A function from a text column to its ids, as ``encode(text)`` of the library gives them."""
-    check_model(load(model))
-
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        chunks = ChunkTable(load(model))
-        for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            ids = [x for block in blocks(texts) for x in chunks.encode(block)]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
-
-    return encode
+def lists(ids: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
 
 
 class PieceTable:
@@ -149,44 +134,52 @@ class PieceTable:
         return text[1:] if first[:1] == b" " and not self.processor.is_byte(ids[0]) else text
 
 
-def decoder(model: str) -> Callable[[Column], Column]:
-    """A function from a column of ids to text, as ``decode(ids)`` of the library gives it."""
+def kind_of(rows: DataFrame) -> str:
+    return f"doc_id {rows.schema['doc_id'].dataType.simpleString()}"
 
-    @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = PieceTable(load(model))
+
+def round_trip(
+    df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", back: bool = True
+) -> DataFrame:
+    """``doc_id, ids, decoded``: both directions in one pass; without ``back`` the ids only."""
+    check_model(load(model))
+    rows = columns(df, doc_id=id_col, text=text_col)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        processor = load(model)
+        chunks, table = ChunkTable(processor), PieceTable(processor)
         for batch in batches:
-            flat = batch.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum([n or 0 for n in batch.value_lengths().to_pylist()]).tolist()
-            starts = [0, *ends[:-1]] if ends else []
-            yield pa.array(
-                [table.decode(flat[a:b].tolist()) for a, b in zip(starts, ends, strict=True)],
-                pa.string(),
-            )
+            for keys, texts in blocks(batch):
+                ids = chunks.encode(texts)
+                found, names = [keys, lists(ids)], ["doc_id", "ids"]
+                if back:
+                    found.append(pa.array([table.decode(x.tolist()) for x in ids], pa.string()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(found, names)
 
-    return decode
+    more = ", decoded string" if back else ""
+    return rows.mapInArrow(read, f"{kind_of(rows)}, ids array<int>{more}")
 
 
 def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids`` for every row; a null or empty text has no ids.
+    """``doc_id, ids`` for every row, as the library's ``encode(text)``; null and empty: no ids.
 
     Repeated rows come out repeated, an empty table gives no rows, and other
     columns are left out, so none can clash.
     """
-    docs = columns(df, doc_id=id_col, text=text_col)
-    return docs.select("doc_id", encoder(model)("text").alias("ids"))
+    return round_trip(df, model, id_col, text_col, back=False)
 
 
 def decode(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``doc_id, text`` for every row; null or no ids give an empty text."""
+    """``doc_id, text`` for every row, as the library's ``decode(ids)``; null and no ids: empty."""
     rows = columns(df, doc_id=id_col, ids=ids_col)
-    known = F.coalesce("ids", F.array().cast("array<int>"))
-    return rows.select("doc_id", decoder(model)(known).alias("text"))
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = PieceTable(load(model))
+        for batch in batches:
+            texts = [table.decode(x.as_py() or []) for x in batch["ids"]]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"]
+            )
 
-def round_trip(
-    df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id, ids, decoded``: both directions in one pass."""
-    encoded = encode(df, model, id_col, text_col)
-    return encoded.withColumn("decoded", decoder(model)("ids"))
+    return rows.mapInArrow(read, f"{kind_of(rows)}, text string")
