@@ -157,7 +157,7 @@ def oracle(window: int = WINDOW, share: float = SHARE) -> str:
 
     def words(of: str, key: str) -> str:
         return f"""SELECT {key}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'),
-            x -> x <> '') AS w FROM (SELECT DISTINCT {key}, text FROM {of} WHERE text IS NOT NULL)"""
+            lambda x: x <> '') AS w FROM (SELECT DISTINCT {key}, text FROM {of} WHERE text IS NOT NULL)"""
 
     return f"""
 WITH docs AS ({words("documents", "doc_id")}),
@@ -170,7 +170,7 @@ near AS (SELECT doc_id, item_id, any_value(n) AS n, any_value(m) AS m, shift, li
     HAVING count(*) >= least(any_value(m), {need})),
 starts AS (SELECT *, unnest(range(greatest(0, -shift),
     least(m, n - shift) - least(m, {window}) + 1)) AS s FROM near),
-good AS (SELECT * FROM starts WHERE len(list_filter(js, x -> x >= s AND x < s + least(m, {window})))
+good AS (SELECT * FROM starts WHERE len(list_filter(js, lambda x: x >= s AND x < s + least(m, {window})))
     >= CASE WHEN m < {window} THEN m ELSE {need} END),
 marked AS (SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id, item_id, shift ORDER BY s)
     <= least(m, {window}) THEN 0 ELSE 1 END AS opens FROM good),
@@ -178,7 +178,7 @@ grouped AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, item_id, shift ORDER
     FROM marked),
 hull AS (SELECT doc_id, item_id, shift, any_value(js) AS js, min(s) AS a,
     max(s) + any_value(least(m, {window})) AS b FROM grouped GROUP BY doc_id, item_id, shift, g),
-inside AS (SELECT doc_id, item_id, shift, list_filter(js, x -> x >= a AND x < b) AS js FROM hull)
+inside AS (SELECT doc_id, item_id, shift, list_filter(js, lambda x: x >= a AND x < b) AS js FROM hull)
 SELECT doc_id, item_id, CAST(list_min(js) + shift AS INTEGER) AS doc_start,
     CAST(list_min(js) AS INTEGER) AS item_start,
     CAST(list_max(js) - list_min(js) + 1 AS INTEGER) AS n_words, CAST(len(js) AS INTEGER) AS n_same

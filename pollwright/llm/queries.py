@@ -12,6 +12,7 @@ from pollwright.llm import (
     jaccard,
     languages,
     neighbours,
+    passages,
     perspectives,
     pieces,
     sharding,
@@ -106,3 +107,8 @@ def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_perspectives"] = perspectives.oracle()
+
+
+@register
+def op5_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
