@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollwright.functions.text import SPACE, strip
+from pollwright.functions.text import SPACE, printed_double, strip
 
 # --- fixed values: answer markers and identifier shapes ---------------------
 ANSWER_SECTION = (
@@ -24,13 +24,19 @@ _WHOLE_IDENTIFIER = r"(?U)\b(?:\d+|[A-Za-z]\d+|[A-Za-z]+_\d+)\b"
 # A bracketed list whose items are quoted strings, plain numbers or keywords.
 # Possessive groups keep the match iterative, so long lists need no stack.
 _STRING = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+\""""
-_PLAIN = r"-?(?:0|[1-9]\d*+)(?:\.\d++)?+|None|True|False|null|true|false"
+_DIGITS = r"\d(?:_?\d)*+"
+_NUMBER = (
+    r"[+-]?+(?:0[xX](?:_?[0-9a-fA-F])++|0[oO](?:_?[0-7])++|0[bB](?:_?[01])++"
+    rf"|(?:{_DIGITS})?+\.{_DIGITS}(?:[eE][+-]?+{_DIGITS})?+|{_DIGITS}\.(?:[eE][+-]?+{_DIGITS})?+"
+    rf"|{_DIGITS}[eE][+-]?+{_DIGITS}|[1-9](?:_?\d)*+|0(?:_?0)*+)"
+)
+_PLAIN = rf"{_NUMBER}(?=\s*+(?:,|\]))|None|True|False|null|true|false"
 _ITEM = rf"(?:{_STRING}|{_PLAIN})"
 _LIST = rf"(?s)\A\[\s*+(?:{_ITEM}(?:\s*+,\s*+{_ITEM})*+\s*+,?+)?+\s*+\]\z"
 _ITEM_CONTENT = (
     r"""(?s)\s*+(?:'((?:[^'\\]|\\.)*+)'|"((?:[^"\\]|\\.)*+)"|([^\s,]++))\s*+,?+\s*+"""
 )
-_MARK = "\u0001"
+_MARK, _BARE = "\u0001", "\u0002"
 
 
 def answer_section(response: Column) -> Column:
@@ -61,15 +67,44 @@ def is_literal_list(text: Column) -> Column:
 def literal_items(text: Column) -> Column:
     """Items of a bracketed list of literals.
 
-    Each item, quotes taken off, is marked in one pass; escaped quotes and
-    backslashes are then read and blanks at the ends dropped item by item.
+    Each item, quotes taken off, is marked in one pass; escapes and numbers are
+    then read and blanks at the ends dropped item by item.
     """
     body = F.substring(text, F.lit(2), F.length(text) - 2)
-    marked = F.regexp_replace(body, _ITEM_CONTENT, f"{_MARK}$1$2$3")
-    return F.transform(
-        F.slice(F.split(marked, _MARK, -1), 2, 1 << 30),
-        lambda item: strip(F.regexp_replace(item, r"""\\(['"\\])""", "$1")),
-    )
+    marked = F.regexp_replace(body, _ITEM_CONTENT, f"{_MARK}$1$2{_BARE}$3")
+    parts = F.split(marked, _MARK, -1)
+
+    def item(part: Column) -> Column:
+        quoted, bare = F.substring_index(part, _BARE, 1), F.substring_index(part, _BARE, -1)
+        return strip(
+            F.when(bare != "", F.when(bare.rlike(r"\d"), printed_number(bare)).otherwise(bare))
+            .when(quoted.contains("\\"), unescaped(quoted))
+            .otherwise(quoted)
+        )
+
+    return F.transform(F.slice(parts, 2, F.size(parts)), item)
+
+
+def printed_number(text: Column) -> Column:
+    """A number literal the way its value is printed."""
+    word = F.lower(F.replace(text, F.lit("_"), F.lit("")))
+    sign = F.when(word.startswith("-") & word.rlike("[1-9a-f]"), "-").otherwise("")
+    bare = F.ltrim(word, F.lit("+-"))
+    whole = [(r"\A0x", 16), (r"\A0o", 8), (r"\A0b", 2)]
+    shown = F.when(bare.rlike(r"\A0+\z"), "0").when(bare.rlike(r"\A\d+\z"), bare)
+    for prefix, base in whole:
+        shown = shown.when(bare.rlike(prefix), F.conv(F.substring(bare, F.lit(3), F.length(bare)), base, 10))
+    return F.concat(sign, shown.otherwise(printed_double(bare.try_cast("double"))))
+
+
+def unescaped(text: Column) -> Column:
+    """A string's content with its escapes read: those of JSON, and quotes, ``\\x`` and line joins."""
+    json = F.regexp_replace(text, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    json = F.regexp_replace(json, r"(?s)\\(['\n])|(\\.)", r"$1$2")
+    json = F.regexp_replace(json, "\n", r"\\n")
+    json = F.regexp_replace(json, '(?<!\\\\)((?:\\\\\\\\)*)"', '$1\\\\"')
+    read = F.get_json_object(F.concat(F.lit('["'), json, F.lit('"]')), "$[0]")
+    return F.coalesce(read, F.regexp_replace(text, r"""\\(['"\\])""", "$1"))
 
 
 def comma_parts(text: Column) -> Column:

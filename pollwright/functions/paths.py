@@ -15,6 +15,11 @@ FORMAT_TAG = rf"_({'|'.join(FORMATS)})_converted_prompts\.csv"
 # ----------------------------------------------------------------------------
 
 
+def decoded(path: Column) -> Column:
+    """A file's path as it is on disk: Spark gives it percent-encoded, ``+`` as it is."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def document_keys(path: Column) -> dict[str, Column]:
     """Keys in ``…/{dataset}/{task}/{format}/{case_id}.{format}``."""
     part = lambda n: F.regexp_extract(path, DOCUMENT_PATH, n)

@@ -38,9 +38,10 @@ class Reply:
 
 def same_identifiers(reply: Reply) -> Column:
     """The identifiers named are exactly the expected list, or hold its one value."""
-    first = F.get(reply.items, F.lit(0))
+    items = F.transform(reply.items, strip)
+    first = F.get(items, F.lit(0))
     both_none = (F.lower(reply.clean) == "none") & ~reply.is_list & (F.lower(first) == "none")
-    equal = F.sort_array(reply.found) == F.sort_array(F.array_distinct(reply.items))
+    equal = F.sort_array(reply.found) == F.sort_array(F.array_distinct(items))
     holds = F.array_contains(reply.found, first)
     return F.when(both_none, True).when(reply.is_list, equal).otherwise(holds)
 

@@ -26,6 +26,25 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def printed_double(value: Column) -> Column:
+    """A double as Python prints it: plain from 0.0001 up to 16 digits, else with an exponent."""
+    text = value.cast("string")
+    size = F.abs(value)
+    plain = F.regexp_replace(value.cast("decimal(38,20)").cast("string"), r"(?<!\.)0++\z", "")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0\z", "")
+    power = F.substring_index(text, "E", -1)
+    digits = F.regexp_replace(power, "-", "")
+    exponent = F.concat(
+        F.when(power.startswith("-"), "-").otherwise("+"),
+        F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits),
+    )
+    return (
+        F.when(~text.contains("E"), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.concat(mantissa, F.lit("e"), exponent))
+    )
+
+
 def is_blank(text: Column) -> Column:
     """True for null, empty and whitespace-only text."""
     return F.coalesce(strip(text) == "", F.lit(True))

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from pollwright.functions.text import strip
 from pollwright.operators.evaluate import is_skipped
 
-# Up to this rank Spark cuts each group inside the map tasks by itself.
-_RANK_CUT = 1000
-
 
 def valid_cases(results: DataFrame) -> DataFrame:
     """Rows whose case id, blanks aside, starts with ``case_``."""
@@ -58,7 +55,8 @@ def case_window(
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn("_rank", rank).filter(F.col("_rank") <= max_cases).drop("_rank")
 
-    if max_cases > _RANK_CUT:
+    threshold = rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if max_cases > int(threshold):
         salt = F.pmod(F.xxhash64(*order), F.lit(salts))
         numbered = limit(numbered.withColumn("_salt", salt), [*group, "_salt"]).drop("_salt")
     return limit(numbered, group)

@@ -1,85 +1,43 @@
-"""Joins that stay balanced when one key holds much of a table."""
+"""Joins with a lookup table of measured size, and with another large table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT = 64 << 20
-SALT_ABOVE = 1 << 30
-HOT_ROWS = 200_000
-SALTS = 64
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, an upper bound for filters over files.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as text, added up by one aggregation.
 
-    A plan without an estimate, as under Spark Connect, counts as large.
+    The optimizer's estimate can be ten times too small or too large for
+    compressed files and for results of joins, so it can't bound a broadcast.
     """
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return 1 << 62
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def salt_of(spread_by: list[str], salts: int) -> Column:
-    """A repeatable salt: a task run again sends its rows to the same place."""
-    return F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
 
 
 def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,
     on: list[str],
-    spread_by: list[str],
     how: str = "left",
     broadcast_limit: int = BROADCAST_LIMIT,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join rows to a lookup table with one row per key.
+    """Join rows to a lookup table, which is broadcast if it measures under the limit.
 
-    The lookup is broadcast when its estimated size is under the limit. Beyond
-    it, rows are salted and the lookup is repeated per salt, so no key can
-    bring more than ``1/salts`` of the rows to one task.
+    Beyond it, it is a join like any other: adaptive execution splits the
+    partition of a hot key among tasks, whatever its size against the rest.
     """
-    if estimated_bytes(lookup) <= broadcast_limit:
-        return rows.join(F.broadcast(lookup), on, how)
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    spread = lookup.select("*", copies)
-    return rows.withColumn("_salt", salt_of(spread_by, salts)).join(
-        spread, [*on, "_salt"], how
-    ).drop("_salt")
+    few = measured_bytes(lookup) <= broadcast_limit
+    return rows.join(F.broadcast(lookup) if few else lookup, on, how)
 
 
-def join_large(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    spread_by: list[str],
-    how: str = "inner",
-    salt_above: int = SALT_ABOVE,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join two tables of which the left may repeat a key very often.
+def join_large(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join two tables of any size.
 
-    A small left side is joined as it is. For a large one the keys with at
-    least ``hot_rows`` rows are counted first (partial counts in the map
-    tasks); only their rows are salted and only their right rows repeated. At
-    most ``rows / hot_rows`` keys can be hot, which bounds that key table.
+    Adaptive execution broadcasts a side that turns out small and splits the
+    partitions of hot keys; no size is guessed beforehand.
     """
-    if estimated_bytes(left) <= salt_above:
-        return left.join(right, on, how)
-    hot = (
-        left.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") >= hot_rows)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    flagged = join_lookup(left, hot, on, spread_by, salts=salts)
-    salted = flagged.withColumn(
-        "_salt", F.when(F.col("_hot"), salt_of(spread_by, salts)).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    spread = right.join(hot, on, "left").withColumn("_salt", F.explode(copies))
-    return salted.drop("_hot").join(spread.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    return left.join(right, on, how)

@@ -19,13 +19,13 @@ CASE = ["dataset", "task", "case_id"]
 SPREAD = ["dataset", "task", "case_id", "pos"]
 
 
-def items_with_documents(items: DataFrame, documents: DataFrame, **limits) -> DataFrame:
+def items_with_documents(items: DataFrame, documents: DataFrame) -> DataFrame:
     """Each item with its document in every format there is one.
 
     ``documents`` has one row per case and format, so the formats multiply in
     the join and items without a document drop out.
     """
-    return join_large(items, documents, CASE, SPREAD, "inner", **limits)
+    return join_large(items, documents, CASE)
 
 
 def missing_documents(items: DataFrame, documents: DataFrame, formats=FORMATS) -> DataFrame:
@@ -33,13 +33,13 @@ def missing_documents(items: DataFrame, documents: DataFrame, formats=FORMATS) -
     wanted = items.select(
         *SPREAD, F.explode(F.array(*map(F.lit, formats))).alias("format")
     )
-    return join_large(wanted, documents.select(*CASE, "format"), [*CASE, "format"], SPREAD, "left_anti")
+    return join_large(wanted, documents.select(*CASE, "format"), [*CASE, "format"], "left_anti")
 
 
 def with_skip_flag(rows: DataFrame, skip_list: DataFrame, **limits) -> DataFrame:
     """``skip`` is TRUE for cases on the list, FALSE otherwise."""
     listed = skip_list.select(*CASE).distinct().withColumn("_listed", F.lit(True))
-    joined = join_lookup(rows, listed, CASE, SPREAD, "left", **limits)
+    joined = join_lookup(rows, listed, CASE, "left", **limits)
     flag = F.when(F.col("_listed"), "TRUE").otherwise("FALSE")
     return joined.withColumn("skip", flag).drop("_listed")
 
@@ -65,19 +65,34 @@ def worked_examples(items: DataFrame, documents: DataFrame) -> DataFrame:
 def with_example(rows: DataFrame, items: DataFrame, documents: DataFrame, **limits) -> DataFrame:
     """Add ``example``, with a fixed note for groups that have none."""
     examples = worked_examples(items, documents)
-    joined = join_lookup(rows, examples, ["dataset", "task", "format"], SPREAD, "left", **limits)
+    joined = join_lookup(rows, examples, ["dataset", "task", "format"], "left", **limits)
     return joined.withColumn(
         "example", F.coalesce("example", F.lit(EXAMPLE_MISSING))
     )
 
 
-def filled_prompts(items: DataFrame, documents: DataFrame, skip_list: DataFrame) -> DataFrame:
+def examples_by_format(items: DataFrame, documents: DataFrame) -> DataFrame:
+    """``example`` for each dataset, task and format that has documents."""
+    formats = documents.select("dataset", "task", "format").distinct()
+    examples = worked_examples(items, documents)
+    return formats.join(examples, ["dataset", "task", "format"], "left").withColumn(
+        "example", F.coalesce("example", F.lit(EXAMPLE_MISSING))
+    )
+
+
+def filled_prompts(
+    items: DataFrame, documents: DataFrame, skip_list: DataFrame, **limits
+) -> DataFrame:
     """Items with document, skip flag and filled template, sections untouched.
 
-    The narrow item rows get their skip flag before the wide documents join.
+    The narrow item rows get skip flag and example before the wide documents
+    join, so no document is shuffled for a lookup.
     """
-    rows = items_with_documents(with_skip_flag(items, skip_list), documents)
-    rows = with_example(rows, items, documents)
+    rows = join_lookup(
+        with_skip_flag(items, skip_list, **limits),
+        examples_by_format(items, documents), ["dataset", "task"], "inner", **limits,
+    )
+    rows = join_large(rows, documents, [*CASE, "format"])
     filled = templates.fill_placeholders(
         F.coalesce("prompt", F.lit("")),
         F.col("fields"),

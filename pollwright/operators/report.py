@@ -1,16 +1,19 @@
 """Accuracy tables.
 
-:func:`accuracy` is the only pass over scored rows. It aggregates inside the
-map tasks, so one row per group and task reaches the shuffle however skewed
-the groups are; every other report is derived from its small result.
+:func:`accuracy` passes over the scored rows. It aggregates inside the map
+tasks, so one row per group and task reaches the shuffle however skewed the
+groups are. Its cells are lazy: for several reports, write them as a table and
+derive the reports from that, or the rows are scored again for each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollwright.constants import FORMATS, TASKS
+from pollwright.constants import FORMATS
 from pollwright.operators.evaluate import is_skipped
 
 GROUP = ["dataset", "dir_task", "format"]
@@ -48,10 +51,11 @@ def summarise(cells: DataFrame, *keys: str) -> DataFrame:
     return totals.withColumn("percentage", percentage(F.col("correct"), F.col("total")))
 
 
-def report_levels(cells: DataFrame) -> DataFrame:
-    """Per group, per task and overall in one pass, told apart by ``level``."""
-    dataset, task, fmt = (F.col(c) for c in GROUP)
-    totals = cells.groupingSets([GROUP, [GROUP[1]], []], dataset, task, fmt).agg(
+def report_levels(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per group, per task and overall in one pass, told apart by ``level``; all of it per ``by``."""
+    by = list(by)
+    sets = [[*by, *GROUP], [*by, GROUP[1]], by]
+    totals = cells.groupingSets(sets, *by, *GROUP).agg(
         F.sum("correct").alias("correct"),
         F.sum("total").alias("total"),
         F.grouping_id().alias("level"),
@@ -59,36 +63,39 @@ def report_levels(cells: DataFrame) -> DataFrame:
     return totals.withColumn("percentage", percentage(F.col("correct"), F.col("total")))
 
 
-def _pivot(cells: DataFrame, cell: Column, tasks: list[str], formats: list[str]) -> DataFrame:
-    """Formats by tasks; cells without questions read ``N/A``."""
-    sums = [
-        F.sum(F.when(F.col("dir_task") == t, F.col(c))).alias(f"{c}:{t}")
-        for t in tasks
-        for c in ("correct", "total")
-    ]
-    rows = cells.select(F.explode(F.array(*map(F.lit, formats))).alias("format")).distinct()
-    summed = cells.groupBy("format").agg(*sums)
-    shown = [
-        F.coalesce(
-            F.when(
-                F.col(f"total:{t}") > 0,
-                cell(F.col(f"correct:{t}"), F.col(f"total:{t}")),
-            ),
-            F.lit("N/A"),
-        ).alias(t)
-        for t in tasks
+def _table(
+    cells: DataFrame, cell: Column, tasks: Sequence[str] | None, formats: Sequence[str], by: Sequence[str]
+) -> DataFrame:
+    """Formats by the tasks seen, per ``by``; cells without questions read ``N/A``.
+
+    The cells are added up in one job and brought to the driver: a report has
+    as many rows as formats, for each model or whatever else it is told by.
+    """
+    totals = summarise(cells, *by, "format", "dir_task").filter(F.col("total") > 0)
+    seen = cells.select(*by, "dir_task").distinct().withColumns(
+        {"format": F.lit(None).cast("string"), "shown": F.lit(None).cast("string")}
+    )
+    names = [*by, "dir_task", "format", "shown"]
+    rows = totals.withColumn("shown", cell).select(*names).unionByName(seen).collect()
+    if tasks is None:
+        tasks = sorted({r["dir_task"] for r in rows if r["dir_task"] is not None})
+    shown = {(*(r[c] for c in by), r["format"], r["dir_task"]): r["shown"] for r in rows}
+    groups = sorted({tuple(r[c] for c in by) for r in rows}, key=str) if by else [()]
+    kinds = [f"`{c}` {dict(cells.dtypes)[c]}" for c in by] + [f"`{c}` string" for c in ("format", *tasks)]
+    found = [
+        (*g, f, *(shown.get((*g, f, t)) or "N/A" for t in tasks)) for g in groups for f in sorted(formats)
     ]
-    return rows.join(summed, "format", "left").select("format", *shown)
+    return cells.sparkSession.createDataFrame(found, ", ".join(kinds))
 
 
-def count_table(cells: DataFrame, tasks=TASKS, formats=FORMATS) -> DataFrame:
+def count_table(cells: DataFrame, tasks=None, formats=FORMATS, by=()) -> DataFrame:
     """``correct/total`` per format and task, over all datasets."""
-    text = lambda c, t: F.concat_ws("/", c.cast("string"), t.cast("string"))
-    return _pivot(cells, text, list(tasks), list(formats))
+    text = F.concat_ws("/", F.col("correct").cast("string"), F.col("total").cast("string"))
+    return _table(cells, text, tasks, formats, by)
 
 
-def percentage_table(cells: DataFrame, tasks=TASKS, formats=FORMATS) -> DataFrame:
-    return _pivot(cells, percentage_text, list(tasks), list(formats))
+def percentage_table(cells: DataFrame, tasks=None, formats=FORMATS, by=()) -> DataFrame:
+    return _table(cells, percentage_text(F.col("correct"), F.col("total")), tasks, formats, by)
 
 
 def distinct_sorted(rows: DataFrame, *names: str) -> DataFrame:

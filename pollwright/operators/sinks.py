@@ -53,7 +53,16 @@ def write_results(scored: DataFrame, path: str, **how) -> None:
     write_table(scored, path, ["dataset", "dir_task", "format"], **how)
 
 
+def write_documents(documents: DataFrame, path: str, **how) -> None:
+    """Survey documents as a table, for collections of more files than a driver can list."""
+    write_table(documents, path, ["dataset", "task", "format"], **how)
+
+
+def report_frame(table: DataFrame, *leading: str) -> DataFrame:
+    """A report as it is written: column ``Format``, in order of it."""
+    return table.withColumnRenamed("format", "Format").orderBy(*leading, "Format")
+
+
 def write_report(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A report of one row per format as a single CSV file."""
-    named = table.withColumnRenamed("format", "Format").orderBy("Format")
-    named.coalesce(1).write.mode(mode).csv(path, header=True)
+    report_frame(table).coalesce(1).write.mode(mode).csv(path, header=True)

@@ -1,5 +1,8 @@
 """Queries over long answer tables (dataset, respondent_id, q_group, q_key, value).
 
+``per`` names the columns that tell what a query is about: a whole survey, or
+one case of it (``CASE``) where answers come from the document of a question.
+
 Results that are sets of respondents come as rows, one per respondent: a
 criterion may match a third of all respondents, which no single list should
 hold. Where nothing matches, one row with the text ``None`` says so.
@@ -14,29 +17,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pollwright.functions.answers import is_literal_list, literal_items
+from pollwright.functions.text import strip
 from pollwright.operators.joining import join_large, join_lookup
 
+SURVEY = ("dataset",)
+#: The key of one document: the six tasks ask about the respondents of one case.
+CASE = ("dataset", "task", "case_id")
 WHO = ["dataset", "respondent_id"]
 NONE = "None"
 
 
-def answer_lookup(answers: DataFrame, requests: DataFrame) -> DataFrame:
-    """The value for each requested (dataset, respondent_id, q_key); ``None`` if missing."""
-    found = answers.select(*WHO, "q_key", "value")
-    joined = requests.join(found, [*WHO, "q_key"], "left")
+def of_cases(answers: DataFrame, file_format: str) -> DataFrame:
+    """Answers of the documents in one format, for queries ``per=CASE``."""
+    return answers.filter(F.col("format") == file_format)
+
+
+def distinct_values(answers: DataFrame, per: Sequence[str] = SURVEY) -> DataFrame:
+    """One value for each respondent and question of a survey or case, the longest."""
+    best = F.max(F.struct(F.length("value").alias("n"), F.col("value").alias("v")))["v"]
+    return answers.groupBy(*per, "respondent_id", "q_key").agg(best.alias("value"))
+
+
+def answer_lookup(answers: DataFrame, requests: DataFrame, per: Sequence[str] = SURVEY) -> DataFrame:
+    """The value for each requested respondent and ``q_key``; ``None`` if missing.
+
+    Requests have the columns ``per``, ``respondent_id`` and ``q_key``.
+    """
+    joined = requests.join(distinct_values(answers, per), [*per, "respondent_id", "q_key"], "left")
     return joined.withColumn(
         "value", F.coalesce(F.nullif("value", F.lit("")), F.lit(NONE))
     )
 
 
-def reverse_lookup(answers: DataFrame, criteria: DataFrame) -> DataFrame:
-    """Respondents giving each criterion's value; criteria: (criterion, dataset, q_key, value)."""
-    who = answers.select(*WHO, "q_key", "value")
-    keys = ["dataset", "q_key", "value"]
-    hits = join_lookup(who, criteria, keys, WHO, "inner").select("criterion", "respondent_id")
+def reverse_lookup(answers: DataFrame, criteria: DataFrame, per: Sequence[str] = SURVEY) -> DataFrame:
+    """Respondents giving each criterion's value; criteria: ``criterion``, ``per``, q_key, value."""
+    who = answers.select(*per, "respondent_id", "q_key", "value")
+    hits = join_lookup(who, criteria, [*per, "q_key", "value"], "inner").select(
+        "criterion", "respondent_id"
+    ).distinct()
     met = hits.select("criterion").distinct()
     unmet = criteria.select("criterion").distinct().join(met, "criterion", "left_anti")
-    return hits.distinct().unionByName(unmet.withColumn("respondent_id", F.lit(NONE)))
+    return hits.unionByName(unmet.withColumn("respondent_id", F.lit(NONE)))
+
+
+def answer_text(found: DataFrame, by: Sequence[str], column: str = "respondent_id") -> DataFrame:
+    """``answer`` per ``by``: the values, sorted, as the scorer expects them; ``None`` for none.
+
+    For queries per case, whose respondents are those of one document.
+    """
+    values = F.array_sort(F.collect_set(F.col(column)))
+    return found.groupBy(*by).agg(F.array_join(values, ", ").alias("answer")).withColumn(
+        "answer", F.coalesce(F.nullif("answer", F.lit("")), F.lit(NONE))
+    )
 
 
 def concept_summary(rows: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -51,12 +83,15 @@ def concept_summary(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     )
 
 
-def concept_count(answers: DataFrame, concepts: DataFrame) -> DataFrame:
-    """Answers falling under each concept, a set of (q_key, value) options."""
-    hits = join_lookup(
-        answers.select(*WHO, "q_key", "value"), concepts, ["q_key", "value"], WHO, "inner"
-    )
-    return hits.groupBy("dataset", "concept").agg(F.count("*").alias("n"))
+def concept_count(answers: DataFrame, concepts: DataFrame, per: Sequence[str] = SURVEY) -> DataFrame:
+    """Answers falling under each concept, a set of (dataset, q_key, value) options.
+
+    An answer counts once for its respondent, however often it is repeated.
+    """
+    given = answers.select(*dict.fromkeys([*per, *SURVEY]), "respondent_id", "q_key", "value").distinct()
+    options = concepts.select("dataset", "concept", "q_key", "value").distinct()
+    hits = join_lookup(given, options, ["dataset", "q_key", "value"], "inner")
+    return hits.groupBy(*per, "concept").agg(F.count("*").alias("n"))
 
 
 def related_respondents(
@@ -64,46 +99,56 @@ def related_respondents(
     anchors: DataFrame,
     links: Sequence[str],
     where: dict[str, Column] | None = None,
+    per: Sequence[str] = SURVEY,
 ) -> DataFrame:
     """Others sharing an anchor respondent's value on every linking question.
 
-    Anchors are few (one per question asked), and each answer row meets only
-    the anchors with its own values; respondents are never paired among
-    themselves. ``where`` gives further conditions by question key, on that
-    key's column of :func:`wide_view`.
+    Anchors are those that questions ask about; only their answers are made
+    wide for the links. Each respondent meets the anchors with its own values;
+    hot values are split by adaptive execution. For everybody's count of
+    others, :func:`related_counts` never pairs anyone. ``where`` gives further
+    conditions by question key, on that key's column of :func:`wide_view`.
     """
-    where = where or {}
-    wide = wide_view(answers, list(dict.fromkeys([*links, *where])))
-    own = wide_view(answers, links).withColumnRenamed("respondent_id", "anchor_id")
-    named = anchors.select("dataset", F.col("respondent_id").alias("anchor_id"))
-    linked = own.join(named, ["dataset", "anchor_id"])
+    where, per = where or {}, list(per)
+    wide = wide_view(answers, list(dict.fromkeys([*links, *where])), per)
+    named = anchors.select(*per, "respondent_id").distinct()
+    asked = answers.join(named, [*per, "respondent_id"], "left_semi")
+    own = wide_view(asked, links, per).withColumnRenamed("respondent_id", "anchor_id")
     others = reduce(lambda df, condition: df.filter(condition), where.values(), wide)
-    hits = join_large(others, linked, ["dataset", *links], WHO, "inner")
+    hits = join_large(others, own, [*per, *links])
     return hits.filter(F.col("respondent_id") != F.col("anchor_id")).select(
-        "dataset", "anchor_id", "respondent_id"
+        *per, "anchor_id", "respondent_id"
     )
 
 
-def related_counts(answers: DataFrame, links: Sequence[str]) -> DataFrame:
+def related_counts(answers: DataFrame, links: Sequence[str], per: Sequence[str] = SURVEY) -> DataFrame:
     """For every respondent, how many others share all linking values.
 
     Counted per combination of values and handed back, so the work stays
-    linear where pairing respondents would be quadratic in a common value.
+    linear where pairing respondents would be quadratic in a common value. The
+    wide rows are shuffled once and used by both.
     """
-    wide = wide_view(answers, links).dropna(subset=list(links))
-    sizes = wide.groupBy("dataset", *links).agg(F.count("*").alias("_n"))
-    joined = join_lookup(wide, sizes, ["dataset", *links], WHO, "inner")
-    return joined.select(*WHO, (F.col("_n") - 1).alias("related"))
+    per = list(per)
+    wide = wide_view(answers, links, per).dropna(subset=list(links))
+    sizes = wide.groupBy(*per, *links).agg(F.count("*").alias("_n"))
+    joined = join_large(wide, sizes, [*per, *links])
+    return joined.select(*per, "respondent_id", (F.col("_n") - 1).alias("related"))
 
 
-def respondent_count(answers: DataFrame, condition: Column, by: Sequence[str] = ()) -> DataFrame:
+def respondent_count(
+    answers: DataFrame, condition: Column, by: Sequence[str] = (), per: Sequence[str] = SURVEY
+) -> DataFrame:
     """Distinct respondents with an answer meeting the condition."""
-    met = answers.filter(condition).select(*by, *[c for c in WHO if c not in by]).distinct()
+    who = [c for c in (*per, "respondent_id") if c not in by]
+    met = answers.filter(condition).select(*by, *who).distinct()
     return met.groupBy(*by).agg(F.count("*").alias("respondents"))
 
 
 def rule_matches(
-    answers: DataFrame, rules: Sequence[tuple[str, Column]], at_least: int | None = None
+    answers: DataFrame,
+    rules: Sequence[tuple[str, Column]],
+    at_least: int | None = None,
+    per: Sequence[str] = SURVEY,
 ) -> DataFrame:
     """Respondents meeting rules, each a question key and a condition on ``value``.
 
@@ -114,10 +159,10 @@ def rule_matches(
         F.max(F.when((F.col("q_key") == key) & rule, 1).otherwise(0)) for key, rule in rules
     ]
     keys = sorted({key for key, _ in rules})
-    matching = answers.filter(F.col("q_key").isin(keys)).groupBy(*WHO).agg(
+    matching = answers.filter(F.col("q_key").isin(keys)).groupBy(*per, "respondent_id").agg(
         reduce(lambda a, b: a + b, held).alias("held")
     )
-    return matching.filter(F.col("held") >= need).select(*WHO)
+    return matching.filter(F.col("held") >= need).select(*per, "respondent_id")
 
 
 def option_labels(questions: DataFrame) -> DataFrame:
@@ -135,21 +180,23 @@ def plain_code(value: Column) -> Column:
 def decode_options(answers: DataFrame, labels: DataFrame) -> DataFrame:
     """Add the label of each answer's code; null where there is no such option."""
     coded = answers.withColumn("code", plain_code(F.col("value")))
-    return join_lookup(coded, labels, ["dataset", "q_key", "code"], WHO, "left")
+    return join_lookup(coded, labels, ["dataset", "q_key", "code"], "left")
 
 
 def explode_choices(answers: DataFrame, separator: str = ";") -> DataFrame:
     """One row per chosen item of a multi-select value.
 
     A value printed as a list is told by its shape, whatever the question's
-    type; other values are split at the separator.
+    type; other values are split at the separator, a plain text, and stripped.
+    Empty items are no choice.
     """
     value = F.col("value")
-    items = F.when(is_literal_list(value), literal_items(value)).otherwise(F.split(value, separator))
-    return answers.withColumn("item", F.explode(items))
+    parts = F.split(value, rf"\Q{separator}\E")
+    items = F.when(is_literal_list(value), literal_items(value)).otherwise(F.transform(parts, strip))
+    return answers.withColumn("item", F.explode(F.filter(items, lambda item: item != "")))
 
 
-def wide_view(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
+def wide_view(answers: DataFrame, keys: Sequence[str], per: Sequence[str] = SURVEY) -> DataFrame:
     """One row per respondent, one column per question; of two values the longer counts.
 
     A single grouping with conditional aggregates, where a pivot takes two.
@@ -159,7 +206,7 @@ def wide_view(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
         return F.max(F.struct(F.length(value).alias("n"), value.alias("v")))["v"].alias(key)
 
     wanted = answers.filter(F.col("q_key").isin(list(keys)))
-    return wanted.groupBy(*WHO).agg(*(longest(k) for k in keys))
+    return wanted.groupBy(*per, "respondent_id").agg(*(longest(k) for k in keys))
 
 
 def one_per_respondent(answers: DataFrame) -> DataFrame:

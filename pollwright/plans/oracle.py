@@ -185,16 +185,25 @@ def one_rule(condition: str) -> str:
     FROM cleaned"""
 
 
-def pivoted(cell: str, column: str = "dir_task") -> str:
+def pivoted(
+    cell: str, column: str = "dir_task", cells: str = f"WITH {CELLS}", tasks: list[str] = TASKS,
+    by: str | None = None,
+) -> str:
     shown = ", ".join(
-        f"coalesce(max(shown) FILTER (WHERE {column} = '{t}'), 'N/A') AS {t}" for t in TASKS
+        f"coalesce(max(shown) FILTER (WHERE {column} = '{t}'), 'N/A') AS {t}" for t in tasks
     )
-    return f"""WITH {CELLS},
-    summed AS (SELECT format, dir_task, sum(correct) AS c, sum(total) AS t FROM cells GROUP BY ALL),
-    texts AS (SELECT format, dir_task, CASE WHEN t > 0 THEN {cell} END AS shown FROM summed)
-    SELECT f.format, {shown}
-    FROM (SELECT unnest({items(FORMATS)}) AS format) f LEFT JOIN texts USING (format)
-    GROUP BY f.format"""
+    keys, lead = (f"{by}, ", f"r.{by}, ") if by else ("", "")
+    rows = f"(SELECT unnest({items(FORMATS)}) AS format) f"
+    if by:
+        rows = f"(SELECT * FROM {rows} CROSS JOIN (SELECT DISTINCT {by} FROM cells)) r"
+    else:
+        rows = f"{rows[:-2]} r"
+    return f"""{cells},
+    summed AS (SELECT {keys}format, dir_task, sum(correct) AS c, sum(total) AS t FROM cells GROUP BY ALL),
+    texts AS (SELECT {keys}format, dir_task, CASE WHEN t > 0 THEN {cell} END AS shown FROM summed)
+    SELECT {lead}r.format, {shown}
+    FROM {rows} LEFT JOIN texts USING ({keys}format)
+    GROUP BY ALL"""
 
 
 def document_keys(n: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pollwright.functions import answers, text
-from pollwright.operators import evaluate, filters, report
+from pollwright.operators import evaluate, filters, report, sinks
 from pollwright.plans import fixtures, oracle
 from pollwright.plans.oracle import CELLS, PARSED, RESULTS, SCORED, strip
 from pollwright.plans.registry import query
@@ -217,6 +217,54 @@ def a3(spark, sf_dir):
     return report.percentage_table(cells(spark, sf_dir))
 
 
+COUNTS, SHARES = "CAST(c AS BIGINT) || '/' || CAST(t AS BIGINT)", "printf('%.1f%%', c / t * 100)"
+_RELABELLED = f"""WITH {CELLS.replace('cells AS (SELECT', 'old_cells AS (SELECT')},
+cells AS (SELECT * REPLACE (CASE WHEN dataset = 'ds1' THEN 'new_task' ELSE dir_task END AS dir_task)
+    FROM old_cells)"""
+
+
+@query("a2_task_never_seen_before", oracle.pivoted(COUNTS, cells=_RELABELLED, tasks=[*oracle.TASKS, "new_task"]))
+def a2_new_task(spark, sf_dir):
+    task = F.when(F.col("dataset") == "ds1", "new_task").otherwise(F.col("dir_task"))
+    return report.count_table(cells(spark, sf_dir).withColumn("dir_task", task))
+
+
+_BY_MODEL = f"WITH {CELLS.replace('SELECT dataset, dir_task', 'SELECT model, dataset, dir_task')}"
+
+
+@query("a3_percentages_per_model", oracle.pivoted(SHARES, cells=_BY_MODEL, by="model"))
+def a3_models(spark, sf_dir):
+    found = report.accuracy(scored(spark, sf_dir), ["model", *report.GROUP])
+    return report.percentage_table(found, by=["model"])
+
+
+@query(
+    "a1_report_levels_per_model",
+    f"""{_BY_MODEL}, s AS (SELECT model, dataset, dir_task, format, CAST(sum(correct) AS BIGINT) AS correct,
+    CAST(sum(total) AS BIGINT) AS total, CAST(grouping(model, dataset, dir_task, format) AS BIGINT) AS level
+    FROM cells GROUP BY GROUPING SETS ((model, dataset, dir_task, format), (model, dir_task), (model)))
+    SELECT *, {oracle.PCT} AS percentage FROM s""",
+)
+def a1_models(spark, sf_dir):
+    found = report.accuracy(scored(spark, sf_dir), ["model", *report.GROUP])
+    return report.report_levels(found, ["model"])
+
+
+_FRAME = 'SELECT * RENAME (format AS "Format") FROM'
+
+
+@query(
+    "k5_report_files",
+    f"""SELECT 'counts' AS file, * FROM ({_FRAME} ({oracle.pivoted(COUNTS)}))
+    UNION ALL SELECT 'percentages', * FROM ({_FRAME} ({oracle.pivoted(SHARES)}))""",
+)
+def k5(spark, sf_dir):
+    found = cells(spark, sf_dir)
+    named = [("counts", report.count_table(found)), ("percentages", report.percentage_table(found))]
+    frames = [sinks.report_frame(t).select(F.lit(n).alias("file"), "*") for n, t in named]
+    return frames[0].unionByName(frames[1])
+
+
 @query(
     "a4_grand_total",
     f"""WITH {CELLS}, s AS (SELECT CAST(sum(correct) AS BIGINT) AS correct,

@@ -84,7 +84,9 @@ def q3(spark, sf_dir):
 def q3_concepts(spark, sf_dir):
     pairs = [("goods", "a"), ("goods", "e"), ("homes", "c"), ("homes", "d")]
     rows = F.array(*(F.struct(F.lit(c).alias("concept"), F.lit(v).alias("value")) for c, v in pairs))
-    concepts = spark.range(1).select(F.inline(rows)).withColumn("q_key", F.lit("Segment"))
+    concepts = spark.range(1).select(F.inline(rows)).withColumns(
+        {"q_key": F.lit("Segment"), "dataset": F.lit("customers")}
+    )
     return survey.concept_count(fixtures.answers(spark, sf_dir), concepts).drop("dataset")
 
 
@@ -289,6 +291,72 @@ def s9(spark, sf_dir):
     return markdown.answers(survey_texts(spark, sf_dir, MARKDOWN_FORM, "md")).select(*ANSWER_COLUMNS)
 
 
+def _case_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of both text forms; every case holds the same two respondents of its customer."""
+    both = markdown.answers(survey_texts(spark, sf_dir, MARKDOWN_FORM, "md")).unionByName(
+        turtle.answers(survey_texts(spark, sf_dir, TURTLE_FORM, "ttl"))
+    )
+    return both.withColumn("respondent_id", (F.col("respondent_id").cast("long") % 11).cast("string"))
+
+
+_CASES = "SELECT 'case_' || c_custkey AS case_id, c_custkey AS k, c_custkey + 1000000000 AS o, * FROM customer"
+_CASE_KEY = ["dataset", "task", "case_id"]
+
+
+@query(
+    "q1_lookup_in_case",
+    f"""WITH c AS ({_CASES}) SELECT case_id, CAST(k % 11 AS VARCHAR) AS respondent_id,
+    lower(c_mktsegment) AS value FROM c""",
+)
+def q1_case(spark, sf_dir):
+    answers = survey.of_cases(_case_answers(spark, sf_dir), "md")
+    asked = answers.filter("q_key = 'Segment'").select(*_CASE_KEY, "respondent_id", "q_key").distinct()
+    return survey.answer_lookup(answers, asked, survey.CASE).select("case_id", "respondent_id", "value")
+
+
+@query(
+    "q2_reverse_lookup_in_case",
+    f"""WITH c AS ({_CASES}) SELECT case_id, CASE WHEN lower(c_mktsegment) = 'building'
+    THEN CAST(k % 11 AS VARCHAR) ELSE 'None' END AS answer FROM c""",
+)
+def q2_case(spark, sf_dir):
+    answers = survey.of_cases(_case_answers(spark, sf_dir), "ttl")
+    criteria = answers.select(*_CASE_KEY).distinct().withColumns(
+        {"criterion": F.col("case_id"), "q_key": F.lit("Segment"), "value": F.lit("building")}
+    )
+    found = survey.reverse_lookup(answers, criteria, survey.CASE)
+    return survey.answer_text(found, ["criterion"]).withColumnRenamed("criterion", "case_id")
+
+
+@query(
+    "q5_count_in_case",
+    f"""WITH c AS ({_CASES}) SELECT case_id, CAST(CASE WHEN k % 11 = o % 11 THEN 1 ELSE 2 END AS BIGINT)
+    AS respondents FROM c""",
+)
+def q5_case(spark, sf_dir):
+    answers = survey.of_cases(_case_answers(spark, sf_dir), "md")
+    named = F.col("q_key") == "Account Name"
+    return survey.respondent_count(answers, named, _CASE_KEY, survey.CASE).select("case_id", "respondents")
+
+
+@query(
+    "q3_q4_q6_in_case",
+    f"""WITH c AS ({_CASES}) SELECT case_id, CAST(1 AS BIGINT) AS n, CAST(0 AS BIGINT) AS related,
+    c_acctbal >= 5000 AS rich FROM c""",
+)
+def q346_case(spark, sf_dir):
+    answers = survey.of_cases(_case_answers(spark, sf_dir), "md")
+    wanted = answers.filter("q_key = 'Segment'").select("dataset", "q_key", "value").distinct()
+    counts = survey.concept_count(answers, wanted.withColumn("concept", F.lit("any")), survey.CASE)
+    related = survey.related_counts(answers, ["Segment"], survey.CASE)
+    rich = survey.rule_matches(answers, [("Balance", F.col("value").try_cast("long") >= 5000)], per=survey.CASE)
+    flags = rich.select(*_CASE_KEY, F.lit(True).alias("rich"))
+    return (
+        counts.join(related, _CASE_KEY).join(flags, _CASE_KEY, "left")
+        .select("case_id", "n", "related", F.coalesce("rich", F.lit(False)).alias("rich"))
+    )
+
+
 @query(
     "s9_markdown_questions",
     """SELECT 'case_' || c_custkey AS case_id, pos, q_group, q_key, q_type, options, lo, hi FROM customer
@@ -445,6 +513,30 @@ def s5(spark, sf_dir):
     return result_files.recovered(_broken_texts(spark, sf_dir))
 
 
+@query(
+    "s4_headers_by_name",
+    f"""WITH {_RECOVERED} SELECT row_id, c AS case_id, task, p AS "Response",
+    CASE WHEN row_id % 4 = 2 THEN '' ELSE 'TRUE' END AS skip FROM keyed WHERE row_id % 4 <> 3
+    UNION ALL SELECT row_id, c, task, 'got ' || p, '' FROM keyed WHERE row_id % 4 = 3""",
+)
+def s4_headers(spark, sf_dir):
+    """File texts with columns in other orders, with more columns, and one that needs recovery."""
+    orders = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    forms = [
+        'task,case_id,skip,Response\n{t},case_{n},TRUE,"{p}"\n',
+        'case_id,task,model,question,Response,Correct,skip\r\ncase_{n},{t},m1,"a\n""b""",{p},,TRUE\r\n',
+        "case_id,response_time,task,Response\ncase_{n},1.5,{t},{p}\nnote,2,{t},{p}\n",
+        'case_id ,task\n"\ncase_{n},{t},q,d,e,pr,got {p},True\n',
+    ]
+    value = fixtures.fill(
+        fixtures.pick(forms, k % 4), n=k % 50 + 1, p=F.col("o_orderpriority"), t=fixtures.pick(fixtures.TASKS, k % 6)
+    )
+    files = orders.select(k.alias("row_id"), value.alias("value"))
+    rows = result_files.rows_of(files)
+    return rows.select("row_id", "case_id", "task", "Response", "skip")
+
+
 @query(
     "s5_quarantined_records",
     f"""WITH {_RECOVERED} SELECT row_id, problem, count(*) AS n FROM keyed CROSS JOIN

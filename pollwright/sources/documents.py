@@ -12,12 +12,15 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
     """One row per file ``{root}/{dataset}/{task}/{format}/{case_id}.{format}``.
 
     Each file is one value; many small files share a task through Spark's file
-    packing. Write the result as a table for repeated use at scale.
+    packing. Line ends of any kind become ``\\n``. Listing very many files takes
+    the driver long, so write the result as a table once
+    (:func:`operators.sinks.write_documents`, :func:`sources.tables.read_table`).
     """
     files = spark.read.text(f"{root.rstrip('/')}/*/*/*/*", wholetext=True)
-    path = F.col("_metadata.file_path")
+    path = paths.decoded(F.col("_metadata.file_path"))
     keys = [c.alias(n) for n, c in paths.document_keys(path).items()]
-    return files.filter(paths.is_document(path)).select(*keys, F.col("value").alias("content"))
+    content = F.regexp_replace("value", r"\r\n?", "\n").alias("content")
+    return files.filter(paths.is_document(path)).select(*keys, content)
 
 
 def read_skip_list(spark: SparkSession, path: str) -> DataFrame:

@@ -44,7 +44,7 @@ def _entries(section: Column) -> Column:
         parts = F.split(bullet, SUB_BULLET)
         head = F.get(parts, F.lit(0))
         subs = F.transform(
-            F.slice(parts, 2, 1 << 20), lambda sub: _entry(_key(head), sub)
+            F.slice(parts, 2, F.size(parts)), lambda sub: _entry(_key(head), sub)
         )
         return F.concat(F.array(_entry(F.lit(None).cast("string"), head)), subs)
 
@@ -63,7 +63,7 @@ def answers(documents: DataFrame) -> DataFrame:
     """
     blocks = F.split(_after(F.col("content"), RESPONSES), RESPONDENT)
     respondents = documents.select(
-        *DOCUMENT, F.explode(F.slice(blocks, 2, 1 << 20)).alias("_block")
+        *DOCUMENT, F.explode(F.slice(blocks, 2, F.size(blocks))).alias("_block")
     )
     entries = F.filter(_entries(F.col("_block")), lambda e: e["has_value"])
     return respondents.select(

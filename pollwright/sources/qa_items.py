@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pollwright.functions import paths
+from pollwright.functions.text import printed_double
 
 _MAP = "map<string,variant>"
 
@@ -19,11 +20,18 @@ def _quoted(text: Column) -> Column:
 
 
 def _scalar(value: Column) -> Column:
+    """A value as it is printed; numbers written with a fraction or exponent are doubles.
+
+    Integers up to 18 digits come as ``BIGINT``, so a shorter ``DECIMAL``
+    without fraction is one that was written with it, such as ``3.0``.
+    """
     word = value.cast("string")
     kind = F.schema_of_variant(value)
+    fraction = (kind == "DOUBLE") | kind.rlike(r"\ADECIMAL\((?:\d+,[1-9]\d*|(?:\d|1[0-8]),0)\)\z")
     return (
         F.when(F.is_variant_null(value) | value.isNull(), "None")
         .when(kind == "BOOLEAN", F.initcap(word))
+        .when(fraction, printed_double(F.try_variant_get(value, "$", "double")))
         .otherwise(word)
     )
 
@@ -78,7 +86,7 @@ def read_items(spark: SparkSession, root: str, layout: str = "array") -> DataFra
     """
     folder = f"{root.rstrip('/')}/*/*{paths.ITEMS_SUFFIX}.json"
     files = spark.read.text(folder, wholetext=layout == "array")
-    path = F.col("_metadata.file_path")
+    path = paths.decoded(F.col("_metadata.file_path"))
     stem = F.regexp_extract(path, r"([^/]+)\.json$", 1)
     dataset = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
     rows = files.select(

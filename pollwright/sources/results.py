@@ -1,9 +1,10 @@
-"""Result files: CSV read as RFC 4180, with recovery of files that are not."""
+"""Result files: CSV read by header name, with recovery of files that are not CSV."""
 
 from __future__ import annotations
 
+import csv
+import io
 import re
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +14,9 @@ from pyspark.sql import types as T
 from pollwright.constants import PROMPT_COLUMNS, RESULT_COLUMNS, TASKS
 from pollwright.functions import paths
 from pollwright.functions.text import strip, unescape_csv
-from pollwright.operators.filters import valid_cases
 
-SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in PROMPT_COLUMNS])
 KEYS = ["dataset", "dir_task", "format"]
-MAX_LISTED = 10_000
+ROW = T.StructType([T.StructField(c, T.StringType()) for c in PROMPT_COLUMNS])
 
 
 def _keys(base: str) -> list[Column]:
@@ -30,100 +29,99 @@ def discover(files: DataFrame, base: str) -> DataFrame:
     return files.select("*", *_keys(base)).filter(F.col("format").isNotNull())
 
 
-def _rows(spark: SparkSession, base: str) -> DataFrame:
-    """All CSV records by position, header lines among them, with their path."""
-    rows = (
-        spark.read.schema(SCHEMA)
-        .option("recursiveFileLookup", "true")
+def _texts(spark: SparkSession, base: str) -> DataFrame:
+    files = (
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{paths.RESULT_SUFFIX}")
-        .csv(base, header=False, multiLine=True, quote='"', escape='"')
-        .select("*", F.col("_metadata.file_path").alias("_path"))
+        .text(base, wholetext=True)
+        .select("value", paths.decoded(F.col("_metadata.file_path")).alias("_path"))
     )
-    return discover(rows.na.fill(""), base)
+    return discover(files, base)
 
 
-def _is_header() -> Column:
-    return reduce(lambda a, b: a & b, (F.col(c) == c for c in RESULT_COLUMNS))
+def _valid_rows(text: str | None) -> list[dict[str, str]] | None:
+    """Rows with a case id, by the names in the header; None if there are none."""
+    try:
+        rows = [
+            {c: row.get(c) or "" for c in PROMPT_COLUMNS}
+            for row in csv.DictReader(io.StringIO(text or "", newline=""))
+            if row.get("case_id", "").strip().startswith("case_")
+        ]
+    except (csv.Error, AttributeError):  # not CSV, or a row that ends before its case id
+        return None
+    return rows or None
 
 
-def _texts(spark: SparkSession, source: str | list[str]) -> DataFrame:
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{paths.RESULT_SUFFIX}")
-        .text(source, wholetext=True)
-        .select("value", F.col("_metadata.file_path").alias("_path"))
-    )
+@F.pandas_udf(T.ArrayType(ROW))
+def csv_rows(texts: pd.Series) -> pd.Series:
+    """Valid rows of whole CSV texts; null where a text has to be recovered."""
+    return texts.map(_valid_rows)
 
 
-def _standard_and_broken(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    """Valid rows of well-formed files, and the whole texts of the others.
+def file_rows(files: DataFrame) -> DataFrame:
+    """Rows of file texts: those of well-formed files, or the ``record`` texts of the others.
 
-    A file is well formed if it has the header and a valid row. The paths of
-    the others are looked up first, so that usually only those files are read
-    as texts; beyond ``MAX_LISTED`` of them both sides are matched by joins.
+    Each text is read once and told apart in its own row, so broken files need
+    no list, no join and no second scan.
     """
-    rows = _rows(spark, base)
-    header = _is_header()
-    valid = valid_cases(rows.filter(~header))
-    seen = rows.filter(header).select("_path").distinct()
-    well_formed = valid.select("_path").distinct().join(seen, "_path", "left_semi")
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{paths.RESULT_SUFFIX}")
-        .load(base)
-        .select(F.col("_metadata.file_path").alias("_path"))
-    )
-    broken = discover(listed, base).select("_path").join(well_formed, "_path", "left_anti")
-    found = [row[0] for row in broken.limit(MAX_LISTED + 1).collect()]
-    if not found:
-        return valid, discover(_texts(spark, base).limit(0), base)
-    if len(found) <= MAX_LISTED:
-        # The path filter also keeps the scan from opening those files.
-        return valid.filter(~F.col("_path").isin(found)), discover(_texts(spark, found), base)
-    texts = discover(_texts(spark, base), base)
-    return (
-        valid.join(broken, "_path", "left_anti"),
-        texts.join(broken, "_path", "left_semi"),
+    rows = files.withColumn("_rows", csv_rows("value"))
+    kinds = [T.StructField("row", ROW), T.StructField("record", T.StringType())]
+    found = F.when(
+        F.col("_rows").isNotNull(),
+        F.transform("_rows", lambda r: F.struct(r.alias("row"), F.lit(None).cast("string").alias("record"))),
+    ).otherwise(
+        F.transform(
+            record_texts(F.col("value")),
+            lambda t: F.struct(F.lit(None).cast(ROW).alias("row"), t.alias("record")),
+        )
     )
+    kept = [c for c in files.columns if c != "value"]
+    return rows.select(*kept, F.inline(found.cast(T.ArrayType(T.StructType(kinds)))))
 
 
 def read_results(spark: SparkSession, base: str) -> DataFrame:
     """Rows of ``{base}/{dataset}/{task}/*_{format}_converted_prompts.csv``.
 
-    Columns are read by position in the standard order; the last, ``skip``,
-    may be absent. A file without the header or a valid row goes through
-    :func:`recovered`. A quoted CSV file is read by one task, so convert large
-    ones to a partitioned table once (:func:`operators.sinks.write_results`).
+    Columns are found by the names in each file's header; missing ones are
+    empty and others left out. A file without a valid row is recovered record
+    by record. A file is read by one task and must be under 2 GB, so convert
+    large collections to a table once (:func:`operators.sinks.write_results`,
+    :func:`sources.tables.read_table`).
     """
-    good, broken = _standard_and_broken(spark, base)
-    kept = [*KEYS, *PROMPT_COLUMNS]
-    repaired = recovered(broken).withColumn("skip", F.lit(""))
-    return good.select(*kept).unionByName(repaired.select(*kept))
+    return rows_of(_texts(spark, base)).select(*KEYS, *PROMPT_COLUMNS)
+
+
+def rows_of(files: DataFrame) -> DataFrame:
+    """Rows of file texts in ``value``, read by header name or recovered; other columns stay."""
+    parsed = parse_record(file_rows(files))
+    whole = F.col("record").isNull()
+    named = [
+        F.when(whole, F.col(f"row.{c}")).otherwise(F.col(f"_r.{c}") if c != "skip" else F.lit("")).alias(c)
+        for c in PROMPT_COLUMNS
+    ]
+    kept = [c for c in files.columns if c != "value"]
+    return parsed.filter(whole | F.col("_r.problem").isNull()).select(*kept, *named)
 
 
 def quarantined(spark: SparkSession, base: str) -> DataFrame:
     """Records of broken files that cannot be recovered, with the reason."""
-    _, broken = _standard_and_broken(spark, base)
-    return parsed_records(broken).filter(F.col("problem").isNotNull()).select(*KEYS, "record", "problem")
+    rows = file_rows(_texts(spark, base)).filter(F.col("record").isNotNull())
+    return parse_record(rows).filter(F.col("_r.problem").isNotNull()).select(
+        *KEYS, "record", F.col("_r.problem").alias("problem")
+    )
 
 
-def split_records(files: DataFrame) -> DataFrame:
-    """One row per record of file texts whose header starts as it should.
+def record_texts(value: Column) -> Column:
+    """Texts of the records of a file whose header starts as it should.
 
     A record starts at a line beginning with ``case_``; the header line, which
     does too, is cut off first.
     """
-    lines = F.regexp_replace(F.col("value"), r"\r\n?", "\n")
+    lines = F.regexp_replace(value, r"\r\n?", "\n")
     body = F.regexp_replace(lines, r"\A[^\n]*+\n?", "")
-    records = F.split(body, r"(?md)^(?=case_)")
-    return (
-        files.filter(F.col("value").startswith("case_id"))
-        .withColumn("record", F.explode(records))
-        .filter(F.col("record").startswith("case_"))
-        .withColumn("record", strip(F.col("record")))
-        .drop("value")
-    )
+    records = F.filter(F.split(body, r"(?md)^(?=case_)"), lambda r: r.startswith("case_"))
+    none = F.array().cast("array<string>")
+    return F.when(value.startswith("case_id"), F.transform(records, strip)).otherwise(none)
 
 
 # --- fixed values: record shape ---------------------------------------------
@@ -168,42 +166,48 @@ def outer_fields(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else _split_outside(t))
 
 
-def parsed_records(files: DataFrame) -> DataFrame:
-    """Columns of each record, or the ``problem`` that keeps it from having any."""
+def parse_record(rows: DataFrame) -> DataFrame:
+    """Add ``_r``: the columns of each ``record`` and the ``problem`` that keeps it from having any."""
     record = F.col("record")
     has_tail = record.rlike(_TAIL)
-    rows = split_records(files).withColumns(
+    kept = rows.columns
+    rows = rows.withColumns(
         {
-            "Response": strip(F.when(has_tail, F.regexp_extract(record, _TAIL, 2)).otherwise("")),
-            "Correct": F.when(has_tail, F.regexp_extract(record, _TAIL, 3)).otherwise(""),
+            "_Response": strip(F.when(has_tail, F.regexp_extract(record, _TAIL, 2)).otherwise("")),
+            "_Correct": F.when(has_tail, F.regexp_extract(record, _TAIL, 3)).otherwise(""),
             "_front": F.when(has_tail, F.regexp_extract(record, _TAIL, 1)).otherwise(record),
         }
     )
     rows = rows.withColumns(
         {
-            "case_id": F.regexp_extract("_front", _HEAD, 1),
-            "task": F.regexp_extract("_front", _HEAD, 2),
+            "_case_id": F.regexp_extract("_front", _HEAD, 1),
+            "_task": F.regexp_extract("_front", _HEAD, 2),
             "_rest": F.regexp_extract("_front", _HEAD, 3),
         }
     )
-    headed = (F.col("case_id") != "") & (F.col("task") != "")
+    headed = (F.col("_case_id") != "") & (F.col("_task") != "")
     rows = rows.withColumn("_fields", outer_fields(F.when(headed, F.col("_rest"))))
     # Filters do not pass a generator, so the Python step runs once per record.
-    found = ["Response", "Correct", "case_id", "task", "_fields"]
-    rows = rows.select(
-        *[c for c in files.columns if c != "value"], "record", F.inline(F.array(F.struct(*found)))
-    )
+    found = ["_Response", "_Correct", "_case_id", "_task", "_fields"]
+    rows = rows.select(*kept, F.inline(F.array(F.struct(*found))))
     problem = (
-        F.when(F.col("case_id") == "", "no case id")
-        .when(F.col("task") == "", "no known task")
+        F.when(F.col("_case_id") == "", "no case id")
+        .when(F.col("_task") == "", "no known task")
         .when(F.size("_fields") < 3, "fewer than three fields")
     )
-    middle = {
-        name: F.coalesce(F.get("_fields", F.lit(i)), F.lit(""))
-        for i, name in enumerate(["question", "questionnaire", "expected_answer", "prompt"])
+    middle = ["question", "questionnaire", "expected_answer", "prompt"]
+    text = {c: F.col(f"_{c}") for c in ("case_id", "task", "Response", "Correct")} | {
+        c: F.coalesce(F.get("_fields", F.lit(i)), F.lit("")) for i, c in enumerate(middle)
     }
-    rows = rows.withColumns({**middle, "problem": problem})
-    return rows.withColumns({c: unescape_csv(F.col(c)) for c in RESULT_COLUMNS}).drop("_fields")
+    columns = [unescape_csv(text[c]).alias(c) for c in RESULT_COLUMNS]
+    return rows.select(*kept, F.struct(*columns, problem.alias("problem")).alias("_r"))
+
+
+def parsed_records(files: DataFrame) -> DataFrame:
+    """Columns of each record of malformed file texts, or the ``problem`` with it."""
+    kept = [c for c in files.columns if c != "value"]
+    records = files.select(*kept, F.explode(record_texts(F.col("value"))).alias("record"))
+    return parse_record(records).select(*kept, "record", "_r.*")
 
 
 def recovered(files: DataFrame) -> DataFrame:
@@ -218,7 +222,7 @@ def available_models(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .load(root)
-        .select(F.col("path").alias("_path"))
+        .select(paths.decoded(F.col("_metadata.file_path")).alias("_path"))
     )
     model = F.get(F.split(paths.relative_to(F.col("_path"), root), "/"), F.lit(0))
     return files.select(model.alias("model")).distinct().orderBy("model")

@@ -18,6 +18,7 @@ SUBJECT = r"\A:(\w+)"
 OBJECT = rf'(?s){_STRING}|[^\s;,"]++'
 PAIR = rf'(?s)(?<=\s)(?:a|\w+:\w+)\s++(?:{_STRING}|[^\s;,"]++)(?:\s*+,\s*+(?:{_STRING}|[^\s;,"]++))*+'
 RESPONDENT = r"\ARespondent(.+)\z"
+NODE = r"\ARespondent[^_]+_"
 GROUP_LINK = "pred:hasGroupResponse"
 LABEL = r"(?i)\Apred:(?:text|basequestion)\z"
 # ----------------------------------------------------------------------------
@@ -35,7 +36,7 @@ def _plain(obj: Column) -> Column:
     inner = F.regexp_replace(
         F.substring(obj, F.lit(2), F.length(obj) - 2), r"(?s)\\(.)", "$1"
     )
-    return F.when(obj.startswith('"'), inner).when(obj.startswith(":"), F.substring(obj, 2, 1 << 30)).otherwise(obj)
+    return F.when(obj.startswith('"'), inner).when(obj.startswith(":"), F.substring(obj, F.lit(2), F.length(obj))).otherwise(obj)
 
 
 def _statement_triples(statement: Column) -> Column:
@@ -70,39 +71,60 @@ def triples(documents: DataFrame) -> DataFrame:
     ).select(*DOCUMENT, "pos", "_t.subject", "_t.predicate", "_t.object")
 
 
-def answers(documents: DataFrame) -> DataFrame:
-    """One row per answer; a group node's answers go to the respondent it hangs on."""
+def _said(documents: DataFrame) -> DataFrame:
+    """What is said of respondents and group nodes, with the owners of a node.
+
+    ``_loose`` tells nodes that hang on nobody: named after a respondent of
+    the document, but without a link.
+    """
     rows = documents.select(*DOCUMENT, _all_triples(F.col("content")).alias("_triples"))
-    links = F.filter("_triples", lambda t: t["predicate"] == GROUP_LINK)
-    rows = rows.withColumns(
-        {
-            "_nodes": F.transform(links, lambda t: t["object"]),
-            "_owners": F.transform(links, lambda t: t["subject"]),
-        }
-    )
     said = F.filter(
         "_triples",
         lambda t: t["subject"].startswith("Respondent")
         & t["predicate"].startswith("pred:")
         & (t["predicate"] != GROUP_LINK),
     )
-    spread = rows.select(
-        *DOCUMENT, "_nodes", "_owners", F.posexplode(said).alias("pos", "_t")
-    )
-    at = (F.array_position("_nodes", F.col("_t.subject")) - 1).cast("int")
-    owner = F.when(at >= 0, F.get("_owners", at))
+    rows = rows.withColumns(
+        {"_links": F.filter("_triples", lambda t: t["predicate"] == GROUP_LINK), "_said": said}
+    ).withColumn("_subjects", F.array_distinct(F.transform("_said", lambda t: t["subject"])))
+    spread = rows.select(*DOCUMENT, "_links", "_subjects", F.posexplode("_said").alias("pos", "_t"))
     node = F.col("_t.subject")
-    group = F.when(owner.isNotNull(), F.substring(node, F.length(owner) + 2, F.length(node)))
-    return spread.select(
+    owners = F.array_distinct(
+        F.transform(F.filter("_links", lambda t: t["object"] == node), lambda t: t["subject"])
+    )
+    named = F.rtrim(F.regexp_extract(node, NODE, 0), F.lit("_"))
+    loose = (F.size("_owners") == 0) & F.array_contains("_subjects", named)
+    return spread.withColumn("_owners", owners).withColumn("_loose", loose).drop("_links", "_subjects")
+
+
+def answers(documents: DataFrame) -> DataFrame:
+    """One row per answer; a group node's answers go to each respondent it hangs on.
+
+    Nodes that hang on nobody are left out; :func:`unlinked` lists them.
+    """
+    node, linked = F.col("_t.subject"), F.size("_owners") > 0
+    rows = _said(documents).filter(~F.col("_loose")).withColumn(
+        "_owner", F.explode(F.when(linked, F.col("_owners")).otherwise(F.array(node)))
+    )
+    below = F.when(
+        node.startswith(F.concat(F.col("_owner"), F.lit("_"))),
+        F.substring(node, F.length("_owner") + 2, F.length(node)),
+    ).otherwise(F.regexp_replace(node, NODE, ""))
+    return rows.select(
         *DOCUMENT,
-        F.regexp_extract(F.coalesce(owner, node), RESPONDENT, 1).alias("respondent_id"),
+        F.regexp_extract("_owner", RESPONDENT, 1).alias("respondent_id"),
         "pos",
-        group.alias("q_group"),
-        F.substring(F.col("_t.predicate"), 6, 1 << 30).alias("q_key"),
+        F.when(linked, below).alias("q_group"),
+        F.substring(F.col("_t.predicate"), F.lit(6), F.length("_t.predicate")).alias("q_key"),
         F.col("_t.object").alias("value"),
     )
 
 
+def unlinked(documents: DataFrame) -> DataFrame:
+    """Group nodes with answers that hang on no respondent."""
+    return _said(documents).filter("_loose").select(*DOCUMENT, F.col("_t.subject").alias("node")).distinct()
+
+
 def questions(documents: DataFrame) -> DataFrame:
     """One row per question or question group, its label unparsed."""
     rows = documents.select(*DOCUMENT, _all_triples(F.col("content")).alias("_triples"))
@@ -117,13 +139,14 @@ def questions(documents: DataFrame) -> DataFrame:
     spread = rows.select(*DOCUMENT, "_subs", "_heads", F.posexplode(labels).alias("pos", "_t"))
     at = (F.array_position("_subs", F.col("_t.subject")) - 1).cast("int")
     # Names read Q<key>, QG<group> and, below a group, Q<group>_<key>.
-    group = F.substring(F.when(at >= 0, F.get("_heads", at)), 3, 1 << 30)
+    head = F.when(at >= 0, F.get("_heads", at))
+    group = F.substring(head, F.lit(3), F.length(head))
     name = F.col("_t.subject")
     is_group = F.lower(F.col("_t.predicate")) == "pred:basequestion"
     key = (
-        F.when(is_group, F.substring(name, 3, 1 << 30))
+        F.when(is_group, F.substring(name, F.lit(3), F.length(name)))
         .when(group.isNotNull(), F.substring(name, F.length(group) + 3, F.length(name)))
-        .otherwise(F.substring(name, 2, 1 << 30))
+        .otherwise(F.substring(name, F.lit(2), F.length(name)))
     )
     return spread.select(
         *DOCUMENT, "pos", group.alias("q_group"), key.alias("q_key"), F.col("_t.object").alias("label")

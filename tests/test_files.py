@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pollwright.constants import PROMPT_COLUMNS, RESULT_COLUMNS
 from pollwright.operators import evaluate, filters, report, sinks
-from pollwright.sources import documents, qa_items, results
+from pollwright.sources import documents, qa_items, results, tables
 
 
 def write(path, text):
@@ -34,7 +34,7 @@ def test_documents(spark, tmp_path):
     write(tmp_path / "d" / "t" / "ttl" / "case_1.ttl", ":a b .")
     write(tmp_path / "d" / "t" / "ttl" / "case_2.md", "wrong ending")
     got = {tuple(r) for r in documents.read_documents(spark, str(tmp_path)).collect()}
-    assert got == {("d", "t", "md", "case_1", "# a\r\nb\n"), ("d", "t", "ttl", "case_1", ":a b .")}
+    assert got == {("d", "t", "md", "case_1", "# a\nb\n"), ("d", "t", "ttl", "case_1", ":a b .")}
 
 
 def test_skip_list(spark, tmp_path):
@@ -178,12 +178,7 @@ def test_written_csv_reads_back(spark, tmp_path):
         ["dataset", "format", *PROMPT_COLUMNS],
     )
     sinks.write_prompts(rows, str(tmp_path / "out"), source="csv")
-    from pollwright.sources.results import SCHEMA
-
-    back = spark.read.schema(SCHEMA).csv(
-        str(tmp_path / "out" / "dataset=d" / "dir_task=answer_lookup" / "format=md"),
-        header=True, multiLine=True, quote='"', escape='"',
-    ).na.fill("")
+    back = tables.read_table(spark, str(tmp_path / "out"), "csv")
     got = {r["case_id"]: (r["question"], r["Response"]) for r in back.collect()}
     assert got == {f"case_{i}": (v, v) for i, v in enumerate(values)}
 
@@ -228,3 +223,68 @@ def test_discover_reads_the_path_only_below_the_base(spark):
     files = spark.createDataFrame([(p,) for p in paths], "_path string")
     got = [(r["_path"][-28:], r["format"]) for r in results.discover(files, "/data/m").collect()]
     assert [f for _, f in got] == ["md", "html"]
+
+
+FORMS = [
+    "task,case_id,skip,Response\nanswer_lookup,case_1,TRUE,x\n",
+    'case_id,task,model,question,Response,Correct\r\ncase_1,answer_lookup,m,"a\nb",x,\r\n',
+    "case_id,response_time,task,Response\ncase_1,1.5,answer_lookup,x\nnote,2,t,y\n",
+    "case_id,task,question,questionnaire,expected_answer,prompt,response_time,Response,skip\n"
+    "case_1,answer_lookup,q,d,e,p,1.5,x,TRUE\n",
+]
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    for i, text in enumerate(FORMS):
+        write(tmp_path / "my data [1]" / "t+u é" / f"t{i}_md_converted_prompts.csv", text)
+    write(tmp_path / "my data [1]" / "t+u é" / "b_ttl_converted_prompts.csv", "case_id \n\"\ncase_1,answer_lookup,q,d,e,p,x,True\n")
+    tracker, group = spark.sparkContext.statusTracker(), "lazy"
+    spark.sparkContext.setJobGroup(group, "reading starts no job")
+    rows = results.read_results(spark, str(tmp_path))
+    assert not tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = [(r["dataset"], r["dir_task"], r["format"], r["case_id"], r["Response"]) for r in rows.collect()]
+    assert sorted(got) == [("my data [1]", "t+u é", "md", "case_1", "x")] * 4 + [("my data [1]", "t+u é", "ttl", "case_1", "x")]
+    assert sorted(r["skip"] for r in rows.collect()) == ["", "", "", "TRUE", "TRUE"]
+
+
+def test_paths_agree(spark, tmp_path):
+    write(tmp_path / "my data" / "my data_a+b_qa_pairs.json", json.dumps(ITEMS[:1]))
+    write(tmp_path / "c" / "my data" / "a+b" / "md" / "case_1.md", "é\r\rx")
+    write(tmp_path / "skip.csv", "dataset,task,case_id\nmy data,a+b,case_1\n")
+    docs = documents.read_documents(spark, str(tmp_path / "c"))
+    items = qa_items.read_items(spark, str(tmp_path))
+    from pollwright.operators import prompts
+
+    rows = prompts.with_skip_flag(prompts.items_with_documents(items, docs), documents.read_skip_list(spark, str(tmp_path / "skip.csv")))
+    assert [(r["dataset"], r["task"], r["content"], r["skip"]) for r in rows.collect()] == [("my data", "a+b", "é\n\nx", "TRUE")]
+    assert [tuple(r) for r in documents.catalogue(spark, str(tmp_path)).collect()] == [("my data", "a+b")]
+
+
+def test_numbers_of_items_are_printed_like_python(spark, tmp_path):
+    values = [3.0, 1e3, [1.0, 2.5], 7, 1e22, 1.5e-7, 12345678901234567890, 1e7, 0.001, -2.0]
+    texts = ["3.0", "1e3", "[1.0, 2.50]", "7", "1e22", "1.5e-7", "12345678901234567890", "10000000.0", "0.001", "-2.0"]
+    objects = spark.createDataFrame(
+        [("d", "t", i, f'{{"case_id":"case_1","expected_answer":{x}}}') for i, x in enumerate(texts)],
+        "dataset string, task string, pos long, value string",
+    )
+    rows = qa_items.items_from_objects(objects).orderBy("pos").collect()
+    assert [r["expected_answer"] for r in rows] == [str(v) for v in values]
+
+
+def test_tables_close_the_loop(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("07", "md", *row("case_1", expected_answer="B", Response="B")), ("07", "ttl", *row("case_2", expected_answer="B"))],
+        ["dataset", "format", *PROMPT_COLUMNS],
+    )
+    for source in ("parquet", "csv"):
+        sinks.write_prompts(rows, str(tmp_path / source / "p"), source=source)
+        read = tables.read_table(spark, str(tmp_path / source / "p"), source)
+        scored = evaluate.score(filters.valid_cases(read))
+        sinks.write_results(evaluate.update_flags(scored), str(tmp_path / source / "r"))
+        cells = report.accuracy(evaluate.score(tables.read_table(spark, str(tmp_path / source / "r"))))
+        got = {(c["dataset"], c["dir_task"], c["format"], c["correct"], c["total"]) for c in cells.collect()}
+        assert got == {("07", "answer_lookup", "md", 1, 1), ("07", "answer_lookup", "ttl", 0, 1)}
+    docs = spark.createDataFrame([("d", "t", "md", "case_1", "x\n")], "dataset string, task string, format string, case_id string, content string")
+    sinks.write_documents(docs, str(tmp_path / "docs"))
+    assert tables.read_table(spark, str(tmp_path / "docs")).select(docs.columns).collect() == docs.collect()

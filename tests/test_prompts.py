@@ -147,13 +147,26 @@ def test_missing_documents(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_salted_joins_agree_with_plain_ones(spark, how):
+def test_joins_agree_whatever_the_measured_size(spark, how):
     left = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id"
     )
     right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
     plain = left.join(right, "k", how)
-    hot = joining.join_large(left, right, ["k"], ["id"], how, salt_above=0, hot_rows=100, salts=5)
-    assert plain.select(hot.columns).exceptAll(hot).count() == 0 and plain.count() == hot.count()
-    looked = joining.join_lookup(left, right, ["k"], ["id"], how, broadcast_limit=0, salts=5)
-    assert plain.select(looked.columns).exceptAll(looked).count() == 0 and plain.count() == looked.count()
+    for limit in (0, 1 << 20):
+        looked = joining.join_lookup(left, right, ["k"], how, broadcast_limit=limit)
+        assert plain.select(looked.columns).exceptAll(looked).count() == 0 and plain.count() == looked.count()
+    assert joining.measured_bytes(right) == sum(len(f'{{"k":{i},"v":{i * 7}}}') for i in range(40))
+
+
+def test_no_document_is_shuffled_for_a_lookup(spark):
+    items, docs, skips = tables(spark)
+    rows = prompts.filled_prompts(items, docs, skips, broadcast_limit=0)
+    before = prompts.filled_prompts(items, docs, skips)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, before.collect()))
+    # documents are shuffled to their items, and those of case_1 to be made examples
+    fresh = prompts.filled_prompts(items, docs, skips, broadcast_limit=0)
+    mode = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils
+    steps = mode.explainString(fresh._jdf.queryExecution(), "formatted").split("\n\n")
+    wide = [s for s in steps if " Exchange\n" in s and "content#" in s]
+    assert len(wide) == 2

@@ -66,3 +66,18 @@ def test_rank_limit_reaches_the_map_side(spark):
     limited = filters.case_window(rows.withColumn("g", F.lit(1) * F.col("id") % 2), ["g"], ["id"], max_cases=5)
     plan = limited._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_reports_show_what_was_seen(spark):
+    kinds = "model string, dataset string, dir_task string, format string, correct long, total long"
+    none = report.count_table(spark.createDataFrame([], kinds)).collect()
+    assert [r["format"] for r in none] == ["html", "json", "md", "ttl", "txt", "xml"]
+    assert all(x == "N/A" for r in report.count_table(spark.createDataFrame([], kinds), ["a"]).collect() for x in r[1:])
+    cells = spark.createDataFrame([("m", "d", "zz_new", "md", 1, 2), ("n", "d", "answer_lookup", "md", 0, 0)], kinds)
+    table = report.count_table(cells)
+    assert table.columns == ["format", "answer_lookup", "zz_new"]
+    assert {tuple(r) for r in table.filter("format = 'md'").collect()} == {("md", "N/A", "1/2")}
+    by = report.percentage_table(cells, by=["model"])
+    assert {tuple(r) for r in by.filter("format = 'md'").collect()} == {("m", "md", "N/A", "50.0%"), ("n", "md", "N/A", "N/A")}
+    levels = {(r["model"], r["level"], r["total"]) for r in report.report_levels(cells, ["model"]).collect()}
+    assert levels == {("m", 0, 2), ("m", 5, 2), ("m", 7, 2), ("n", 0, 0), ("n", 5, 0), ("n", 7, 0)}

@@ -169,3 +169,31 @@ def test_update_flags(spark):
     df = spark.createDataFrame(rows, "skip string, Correct string, is_correct boolean")
     got = [(r["Correct"], r["changed"]) for r in evaluate.update_flags(df).collect()]
     assert got == [("x", False), ("True", False), ("False", True), ("True", True)]
+
+
+@pytest.mark.parametrize(
+    "expected, items",
+    [
+        ("[+5, 6]", ["5", "6"]),
+        ("[0x10, 0b11, 0o17, 1_000]", ["16", "3", "15", "1000"]),
+        ("[1.50, 1e3, -2.0, .5, 1e22]", ["1.5", "1000.0", "-2.0", "0.5", "1e+22"]),
+        (r"""['café', 'a\tb', 'it\'s', "x\"y"]""", ["café", "a\tb", "it's", 'x"y']),
+        (r"""['say "hi"\n', 'b\\c', '\x41']""", ['say "hi"', "b\\c", "A"]),
+        ("[null, true, 'None']", ["None", "True", "None"]),
+        ("[-0, 00]", ["0", "0"]),
+    ],
+)
+def test_list_literals(spark, expected, items):
+    from pollwright.functions import answers as reading
+
+    rows = spark.createDataFrame([(expected,)], "e string")
+    got = reading.with_items(rows, F.col("e"), "is_list", "items").first()
+    assert (got["is_list"], got["items"]) == (True, items)
+
+
+@pytest.mark.parametrize("expected, response", [('"3 ", 4', "3, 4"), ("'1 ', ' 2'", "1, 2"), ("[+5, 0x10]", "16 and 5")])
+def test_items_are_stripped_after_their_quotes(spark, expected, response):
+    rows = spark.createDataFrame(
+        [(expected, response, REVERSE)], "expected_answer string, Response string, task string"
+    )
+    assert evaluate.score(rows).first()["is_correct"]

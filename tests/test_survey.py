@@ -226,3 +226,52 @@ def test_envelope_of_a_failed_call(spark):
     assert got == [
         ("x", True, None, 1.5), ("", False, "reply lacks its text", 0.5), ("", False, "HTTP 500", 2.0),
     ]
+
+
+def test_group_nodes_find_all_their_owners(spark):
+    text = """:Respondent1 pred:Age "3" .
+:Respondent2 pred:Age "4" .
+:Respondent1_G pred:Mood "x" .
+:Respondent1 pred:hasGroupResponse :Respondent1_G .
+:Respondent2 pred:hasGroupResponse :Respondent1_G .
+:Respondent2_H pred:Mood "y" .
+"""
+    docs = document(spark, text, "ttl")
+    assert {tuple(r) for r in turtle.answers(docs).select(*COLUMNS).collect()} == {
+        ("1", None, "Age", "3"), ("2", None, "Age", "4"), ("1", "G", "Mood", "x"), ("2", "G", "Mood", "x"),
+    }
+    assert [r["node"] for r in turtle.unlinked(docs).collect()] == ["Respondent2_H"]
+
+
+def test_separators_are_plain_and_items_stripped(spark):
+    answers = table(spark, [("1", "k", "a| b"), ("2", "k", ""), ("3", "k", "a;|b")])
+    got = [(r["respondent_id"], r["item"]) for r in survey.explode_choices(answers, "|").collect()]
+    assert sorted(got) == [("1", "a"), ("1", "b"), ("3", "a;"), ("3", "b")]
+
+
+def cases(spark, rows):
+    kinds = "dataset string, task string, case_id string, format string, respondent_id string, q_key string, value string"
+    return spark.createDataFrame([("d", "t", *r) for r in rows], kinds)
+
+
+def test_queries_in_one_case(spark):
+    answers = cases(spark, [
+        ("case_1", "md", "1", "City", "x"), ("case_1", "md", "2", "City", "x"), ("case_1", "ttl", "1", "City", "x"),
+        ("case_2", "md", "1", "City", "y"), ("case_2", "md", "3", "City", "x"), ("case_2", "md", "3", "Age", "5"),
+    ])
+    md = survey.of_cases(answers, "md")
+    asked = spark.createDataFrame([("d", "t", "case_2", "1", "City")], "dataset string, task string, case_id string, respondent_id string, q_key string")
+    assert [r["value"] for r in survey.answer_lookup(md, asked, survey.CASE).collect()] == ["y"]
+    criteria = spark.createDataFrame(
+        [("a", "d", "t", "case_1", "City", "x"), ("b", "d", "t", "case_2", "City", "z")],
+        "criterion string, dataset string, task string, case_id string, q_key string, value string",
+    )
+    found = survey.reverse_lookup(md, criteria, survey.CASE)
+    assert {tuple(r) for r in survey.answer_text(found, ["criterion"]).collect()} == {("a", "1, 2"), ("b", "None")}
+    concepts = spark.createDataFrame([("d", "c", "City", "x")] * 2, "dataset string, concept string, q_key string, value string")
+    got = {(r["case_id"], r["n"]) for r in survey.concept_count(answers, concepts, survey.CASE).collect()}
+    assert got == {("case_1", 2), ("case_2", 1)}
+    anchors = asked.select("dataset", "task", "case_id", F.lit("3").alias("respondent_id"))
+    assert survey.related_respondents(md, anchors, ["City"], per=survey.CASE).count() == 0
+    rules = survey.rule_matches(md, [("City", F.col("value") == "x")], per=survey.CASE)
+    assert {(r["case_id"], r["respondent_id"]) for r in rules.collect()} == {("case_1", "1"), ("case_1", "2"), ("case_2", "3")}
