@@ -1,13 +1 @@
-"""Operations of a training-data pipeline, each a Spark job of its own.
-
-Functions of this package that run inside tasks travel by value, so workers
-need no copy of it.
-"""
-
-from __future__ import annotations
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+"""Operations of a training-data pipeline, each a Spark job of its own."""

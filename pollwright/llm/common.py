@@ -20,29 +20,41 @@ def columns(df: DataFrame, **named: str) -> DataFrame:
     return df.select(*(df[source].alias(name) for name, source in named.items()))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write a table to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    The folder is the session's ``spark.checkpoint.dir``. Where that is unset,
-    as in tests, a temporary folder is set for a local master.
+    Where that is unset, as in tests, a temporary folder is set for a local master.
     """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local["):
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
+    if folder is None:
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+    if not known.isDefined():
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def semi_join(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """Rows of a wide table whose key is in a narrow table of distinct ids.
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table, broadcast if it has few enough rows; they are counted."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def semi_join(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+    """Rows of a wide table whose key is (or isn't) in a narrow table of distinct ids.
 
     The ids are counted; up to ``BROADCAST_ROWS`` they go to every executor
     and the wide rows stay where they are, beyond it both sides are shuffled.
     """
-    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(ids) if few else ids, on, "left_semi")
+    return df.join(small(ids), on, how)
 
 
 def fold(key: Column, folds: int) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollwright.llm.common import BROADCAST_ROWS, columns
+from pollwright.llm.common import columns, small
 
 MASKS = ("11010111", "111100101")
 #: An overlap is a run of so many words of which this share are the same.
@@ -50,11 +50,6 @@ def seeds(rows: DataFrame, masks: list[str], keep: list[str], wanted: Column | N
     )
 
 
-def small(df: DataFrame) -> DataFrame:
-    """The table, broadcast if it has few enough rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def overlaps(
     docs: DataFrame,
     items: DataFrame,

@@ -10,12 +10,12 @@ gain less than the penalty, no set can win and the search ends at once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pollwright.llm.common import columns
@@ -151,20 +151,10 @@ def infer(p: np.ndarray, log_p: np.ndarray, n: np.ndarray) -> tuple[dict[int, fl
     return {c: float(k) for c, k in zip(chosen, kept, strict=True)}, float(kept.max())
 
 
-def identify(
-    df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id, lang_pred, score, languages`` for every row.
-
-    ``languages`` lists the chosen languages with their proportions, largest
-    first (ties by name), and ``score`` is the part of the text that is the
-    first one's. A null text, one without letters, or a model without
-    languages gives ``und`` with score 0 and no languages. Repeated rows come
-    out repeated; other columns are left out.
-    """
-    session = df.sparkSession
-    letters = session.sparkContext.broadcast(letter_table())
-    tables = session.sparkContext.broadcast((model.log_p, np.exp(model.log_p)))
+def predictor(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A function from a text column to a struct of ``lang_pred, score, languages``."""
+    letters = spark.sparkContext.broadcast(letter_table())
+    tables = spark.sparkContext.broadcast((model.log_p, np.exp(model.log_p)))
     names = model.languages
     kind = "struct<lang_pred:string,score:double,languages:array<struct<lang:string,share:double>>>"
 
@@ -190,5 +180,20 @@ def identify(
                 ("languages", pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))),
             ]))
 
+    return predict
+
+
+def identify(
+    df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, lang_pred, score, languages`` for every row.
+
+    ``languages`` lists the chosen languages with their proportions, largest
+    first (ties by name), and ``score`` is the part of the text that is the
+    first one's. A null text, one without letters, or a model without
+    languages gives ``und`` with score 0 and no languages. Repeated rows come
+    out repeated; other columns are left out.
+    """
+    predict = predictor(df.sparkSession, model)
     found = columns(df, doc_id=id_col, text=text_col).select("doc_id", predict("text").alias("_f"))
     return found.select("doc_id", "_f.lang_pred", "_f.score", "_f.languages")

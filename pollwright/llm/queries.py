@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pollwright.llm import (
     decontamination,
+    extraction,
     jaccard,
     languages,
     neighbours,
@@ -112,3 +113,9 @@ ORACLES["op10_perspectives"] = perspectives.oracle()
 @register
 def op5_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@register
+def op1_boosted_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.learn(pages))

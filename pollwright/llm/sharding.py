@@ -14,8 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollwright.llm.common import columns, cut
-from pollwright.llm.decontamination import small
+from pollwright.llm.common import columns, cut, small
 
 HASH_BITS = 60
 LEVEL_BITS = 12
@@ -67,6 +66,11 @@ def assign(
     only shard above the limit. A null id counts as empty. An empty table gives
     no rows; other columns are left out.
     """
+    return placed(df, limit, id_col, text_col).drop("_code")
+
+
+def placed(df: DataFrame, limit: int, id_col: str, text_col: str) -> DataFrame:
+    """What ``assign`` gives, and the hash ``_code``."""
     docs = columns(df, doc_id=id_col, _text=text_col)
     rows = cut(
         docs.select(
@@ -79,9 +83,9 @@ def assign(
     left, done = rows, []
     for base in range(0, HASH_BITS, LEVEL_BITS):
         found = cut(directory(left, base, limit))
-        placed = left.withColumn("_prefix", prefix(base + LEVEL_BITS)).join(small(found), "_prefix")
-        done.append(placed.filter("_depth is not null").drop("_prefix"))
-        left = placed.filter("_depth is null").select(*rows.columns)
+        there = left.withColumn("_prefix", prefix(base + LEVEL_BITS)).join(small(found), "_prefix")
+        done.append(there.filter("_depth is not null").drop("_prefix"))
+        left = there.filter("_depth is null").select(*rows.columns)
         if base + LEVEL_BITS < HASH_BITS and found.filter("_depth is null").isEmpty():
             left = left.limit(0)
             break
@@ -89,7 +93,7 @@ def assign(
     bits = F.expr(f"lpad(bin(shiftright(_code, {HASH_BITS} - _depth)), _depth, '0')")
     copies = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
     kept = fit.select(
-        "doc_id", "n_bytes", F.concat(F.lit("s"), bits).alias("shard"),
+        "_code", "doc_id", "n_bytes", F.concat(F.lit("s"), bits).alias("shard"),
         F.col("_depth").alias("shard_depth"), F.col("_bytes").alias("shard_bytes"), copies,
     )
     # copies of one row: pages of as many as fit
@@ -102,7 +106,7 @@ def assign(
     ).repartition("_code", "_page")
     all_bits = F.lpad(F.bin("_code"), HASH_BITS, "0")
     paged = pages.select(
-        "doc_id", "n_bytes", F.concat_ws("-", F.concat(F.lit("s"), all_bits), "_page").alias("shard"),
+        "_code", "doc_id", "n_bytes", F.concat_ws("-", F.concat(F.lit("s"), all_bits), "_page").alias("shard"),
         F.lit(HASH_BITS).alias("shard_depth"),
         (F.col("_held") * F.col("n_bytes")).alias("shard_bytes"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("_held"))).alias("_copy"),
@@ -117,18 +121,15 @@ def write(df: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc
     Copies of a row are taken once from the table and repeated as often as their
     pages say.
     """
-    plan = assign(df, limit, id_col, text_col).groupBy("doc_id", "n_bytes", "shard").agg(
+    plan = placed(df, limit, id_col, text_col).groupBy("_code", "shard").agg(
         F.count("*").alias("_times")
     )
-    first = df.dropDuplicates([id_col, text_col]).withColumn(
-        "_size", F.octet_length(F.coalesce(text_col, F.lit(""))).cast("long")
-    )
-    same = first[id_col].eqNullSafe(plan["doc_id"]) & (first["_size"] == plan["n_bytes"])
-    named = first.join(plan, same).select(
+    first = df.dropDuplicates([id_col, text_col])
+    named = first.join(plan, hash_code(first[id_col], first[text_col]) == plan["_code"]).select(
         *(first[c] for c in df.columns), plan["shard"],
         F.explode(F.sequence(F.lit(1).cast("long"), plan["_times"])).alias("_copy"),
-    ).drop("_copy")
-    named.repartition("shard").write.partitionBy("shard").parquet(path)
+    )
+    named.drop("_copy").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def oracle(limit: int = SHARD_BYTES) -> str:
