@@ -172,27 +172,51 @@ def overlap(size_a: Column, size_b: Column, percent: int) -> Column:
 
 
 def may_link(a: Column, b: Column, percent: int) -> Column:
-    """The filters, on two members of one list.
+    """Length and positional filter, on two members of one list.
 
-    Where the n-gram is the first one that both sets share, what is left behind it in
-    either set bounds their overlap. The parts of the hash range bound how many
-    n-grams only one of the sets has.
+    Where the n-gram is the first one that both sets share, what is left behind
+    it in either set bounds their overlap.
     """
-    need = overlap(a["size"], b["size"], percent)
     left = F.least(a["size"] - a["pos"], b["size"] - b["pos"])
-    apart = sum(F.abs(F.get(a["parts"], i) - F.get(b["parts"], i)) for i in range(SUFFIX_PARTS))
     return (
-        (F.least(a["size"], b["size"]) * 100 >= F.greatest(a["size"], b["size"]) * percent)
-        & (left >= need)
-        & (apart <= a["size"] + b["size"] - 2 * need)
-    )
+        F.least(a["size"], b["size"]) * 100 >= F.greatest(a["size"], b["size"]) * percent
+    ) & (left >= overlap(a["size"], b["size"], percent))
+
+
+def alive(lists: DataFrame, percent: int) -> DataFrame:
+    """Members that may still link to one of another component in their list.
+
+    A member that lies too far behind in its set for the smallest set of the
+    list goes, then lists whose members are all in one component.
+    """
+    same = W.partitionBy("token")
+    least = F.greatest(F.min("size").over(same), F.ceil(F.col("size") * percent / F.lit(100)))
+    near = lists.withColumn("_least", least).filter(
+        F.col("size") - F.col("pos") >= overlap(F.col("size"), F.col("_least"), percent)
+    ).drop("_least")
+    mixed = F.min("component").over(same) != F.max("component").over(same)
+    return near.withColumn("_mixed", mixed).filter("_mixed").drop("_mixed")
+
 
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b`` of the pairs that pass the suffix filter and whose whole sets are similar enough.
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of the pairs whose whole sets are similar enough."""
-    first = sets.select(F.col("node").alias("a"), F.col("s").alias("s_a"))
-    second = sets.select(F.col("node").alias("b"), F.col("s").alias("s_b"))
-    both = pairs.join(first, "a").join(second, "b")
+    The parts of the hash range bound how many n-grams only one of the sets
+    has. Only sets of texts in a pair are read.
+    """
+    pairs = cut(pairs)
+    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = cut(whole_sets(semi_join(docs, cut(nodes), "doc_id"), words))
+
+    def of(node: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("node").alias(node), *(F.col(c).alias(f"{c}_{node}") for c in columns))
+
+    size_a, size_b = (F.aggregate(f"parts_{x}", F.lit(0), lambda s, n: s + n) for x in "ab")
+    apart = sum(F.abs(F.get("parts_a", i) - F.get("parts_b", i)) for i in range(SUFFIX_PARTS))
+    near = pairs.join(of("a", "parts"), "a").join(of("b", "parts"), "b").filter(
+        apart <= size_a + size_b - 2 * overlap(size_a, size_b, percent)
+    ).select("a", "b").distinct()
+    both = near.join(of("a", "s"), "a").join(of("b", "s"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - common
     return both.filter(common * 100 >= union * percent).select("a", "b").distinct()
@@ -237,23 +261,16 @@ def near_duplicates(
         shared.join(classes, ["k1", "k2"]).filter("node is not null")
         .select("token", "node", "size", "pos")
     )
-    sets = cut(
-        whole_sets(semi_join(docs, lists.select(F.col("node").alias("doc_id")).distinct(), "doc_id"), words)
-    )
-    parts = sets.select("node", "parts")
-    rest = lists.join(parts, "node").select(
-        "token", "node", "size", "pos", "parts", F.col("node").alias("component")
-    )
+    rest = alive(lists.withColumn("component", F.col("node")), percent)
 
     links = None
     for turn in range(STARS + 1):
         if turn < STARS:
-            pivot = F.min(F.struct("pos", "size", "node", "parts", "component")).over(same)
+            pivot = F.min(F.struct("pos", "size", "node", "component")).over(same)
             met = rest.withColumn("_p", pivot)
-            a, b = F.col("_p"), F.struct("pos", "size", "parts")
             pairs = met.filter(
                 (F.col("node") != F.col("_p.node")) & (F.col("component") != F.col("_p.component"))
-                & may_link(a, b, percent)
+                & may_link(F.col("_p"), F.struct("pos", "size"), percent)
             ).select(F.least("node", "_p.node").alias("a"), F.greatest("node", "_p.node").alias("b"))
             rest = met.filter(F.col("node") != F.col("_p.node")).drop("_p")
         else:
@@ -262,20 +279,18 @@ def near_duplicates(
                 (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                 & (F.col("x.component") != F.col("y.component"))
             )
-            a, b = ({c: F.col(f"{t}.{c}") for c in ("size", "pos", "parts")} for t in "xy")
+            a, b = ({c: F.col(f"{t}.{c}") for c in ("size", "pos")} for t in "xy")
             pairs = x.join(y, meets & may_link(a, b, percent)).select(
                 F.col("x.node").alias("a"), F.col("y.node").alias("b")
             )
-        fresh = verified(pairs.distinct(), sets, percent)
+        fresh = verified(pairs.distinct(), docs, words, percent)
         links = cut(fresh if links is None else links.unionByName(fresh))
         named = components(links)
         if turn < STARS:
-            # lists whose members are all in one component are done
             again = rest.drop("component").join(
                 named.select("node", F.col("component").alias("_c")), "node", "left"
             ).withColumn("component", F.coalesce("_c", "node")).drop("_c")
-            mixed = F.min("component").over(same) != F.max("component").over(same)
-            rest = cut(again.withColumn("_mixed", mixed).filter("_mixed").drop("_mixed"))
+            rest = cut(alive(again, percent))
             if rest.isEmpty():
                 break
 
