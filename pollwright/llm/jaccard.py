@@ -29,9 +29,9 @@ from pollwright.llm.graph import components
 #: Texts that have an n-gram are counted in a table of this many buckets.
 COUNT_BITS = 18
 #: Parts of the hash range that the suffix filter counts n-grams in.
-SUFFIX_PARTS = 16
+SUFFIX_PARTS = 256
 #: Rounds in which one member of a list is compared with the others.
-STARS = 2
+STARS = 1
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -148,22 +148,35 @@ def prefixes(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> D
 
 
 def whole_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``node, s, parts``: whole sets, and how many n-grams lie in each part of the hash range."""
+    """``node, s``: whole sets."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t.as_py(), words) for t in batch["_text"]]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
-            step = np.uint64(64 - SUFFIX_PARTS.bit_length() + 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                ["node", "s"],
+            )
+
+    return docs.mapInArrow(read, "node long, s array<long>")
+
+
+def part_counts(docs: DataFrame, words: int) -> DataFrame:
+    """``node, parts``: how many n-grams lie in each part of the hash range."""
+    step = np.uint64(64 - SUFFIX_PARTS.bit_length() + 1)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (shingles(t.as_py(), words) for t in batch["_text"])
             parts = [np.bincount((s >> step).astype(np.int64), minlength=SUFFIX_PARTS) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                 pa.array([p.tolist() for p in parts], pa.list_(pa.int32()))],
-                ["node", "s", "parts"],
+                [batch["doc_id"], pa.array([p.tolist() for p in parts], pa.list_(pa.int32()))],
+                ["node", "parts"],
             )
 
-    return docs.mapInArrow(read, "node long, s array<long>, parts array<int>")
+    return docs.mapInArrow(read, "node long, parts array<int>")
 
 
 def overlap(size_a: Column, size_b: Column, percent: int) -> Column:
@@ -198,25 +211,36 @@ def alive(lists: DataFrame, percent: int) -> DataFrame:
     return near.withColumn("_mixed", mixed).filter("_mixed").drop("_mixed")
 
 
+def with_both(pairs: DataFrame, of_nodes: DataFrame, column: str) -> DataFrame:
+    """Add ``column`` of both texts of a pair."""
+    first, second = (
+        of_nodes.select(F.col("node").alias(x), F.col(column).alias(f"{column}_{x}")) for x in "ab"
+    )
+    return pairs.join(first, "a").join(second, "b")
+
+
+def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    return semi_join(docs, cut(nodes), "doc_id")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``a, b`` of the pairs that pass the suffix filter and whose whole sets are similar enough.
 
     The parts of the hash range bound how many n-grams only one of the sets
-    has. Only sets of texts in a pair are read.
+    has, so that whole sets are made and moved for little more than the links.
     """
     pairs = cut(pairs)
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = cut(whole_sets(semi_join(docs, cut(nodes), "doc_id"), words))
-
-    def of(node: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("node").alias(node), *(F.col(c).alias(f"{c}_{node}") for c in columns))
-
+    counts = with_both(pairs, cut(part_counts(texts_of(pairs, docs), words)), "parts")
     size_a, size_b = (F.aggregate(f"parts_{x}", F.lit(0), lambda s, n: s + n) for x in "ab")
-    apart = sum(F.abs(F.get("parts_a", i) - F.get("parts_b", i)) for i in range(SUFFIX_PARTS))
-    near = pairs.join(of("a", "parts"), "a").join(of("b", "parts"), "b").filter(
-        apart <= size_a + size_b - 2 * overlap(size_a, size_b, percent)
-    ).select("a", "b").distinct()
-    both = near.join(of("a", "s"), "a").join(of("b", "s"), "b")
+    apart = F.aggregate(
+        F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, n: s + n
+    )
+    near = cut(
+        counts.filter(apart <= size_a + size_b - 2 * overlap(size_a, size_b, percent))
+        .select("a", "b").distinct()
+    )
+    both = with_both(near, cut(whole_sets(texts_of(near, docs), words)), "s")
     common = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - common
     return both.filter(common * 100 >= union * percent).select("a", "b").distinct()
@@ -253,17 +277,23 @@ def near_duplicates(
     several = (F.min("k1").over(same) != F.max("k1").over(same)) | (
         F.min("k2").over(same) != F.max("k2").over(same)
     )
-    shared = (
+    in_lists = (
         found.withColumn("_several", several).filter("_several").drop("_several")
         .dropDuplicates(["token", "k1", "k2"])
     )
     lists = cut(
-        shared.join(classes, ["k1", "k2"]).filter("node is not null")
+        in_lists.join(classes, ["k1", "k2"]).filter("node is not null")
         .select("token", "node", "size", "pos")
     )
     rest = alive(lists.withColumn("component", F.col("node")), percent)
 
-    links = None
+    # an id whose rows differ is one document
+    known = rows.filter("n > 0 and doc_id is not null")
+    shared_ids = known.groupBy("doc_id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo <> hi")
+    links = cut(
+        known.join(shared_ids.select("doc_id"), "doc_id", "left_semi").join(classes, ["k1", "k2"])
+        .select(F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct()
+    )
     for turn in range(STARS + 1):
         if turn < STARS:
             pivot = F.min(F.struct("pos", "size", "node", "component")).over(same)
@@ -284,7 +314,7 @@ def near_duplicates(
                 F.col("x.node").alias("a"), F.col("y.node").alias("b")
             )
         fresh = verified(pairs.distinct(), docs, words, percent)
-        links = cut(fresh if links is None else links.unionByName(fresh))
+        links = cut(links.unionByName(fresh))
         named = components(links)
         if turn < STARS:
             again = rest.drop("component").join(
