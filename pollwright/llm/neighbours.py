@@ -33,7 +33,7 @@ STEPS = 10
 PART_ROWS = 16_384
 BLOCK_QUERIES = 1_024
 #: The radius grows until it holds this share of a part and so many codes.
-REACH = 0.03
+REACH = 0.05
 LEAST = 256
 
 BYTE_BITS = np.array([bin(x).count("1") for x in range(256)], np.uint8)
