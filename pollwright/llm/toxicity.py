@@ -28,34 +28,53 @@ PARTS = (4, 5)
 POSITIVES = 3000
 UNLABELLED = 9000
 CLASSIFIERS = 3
-EPOCHS = 12
-BATCH = 256
-RATE = 0.02
+EPOCHS = 30
+BATCH = 128
+RATE = 0.05
 DECAY = 1e-3
-#: Words a task remembers the weight of, and the longest of them.
-HELD_WORDS = 400_000
+#: How many standard deviations the shares of texts with a feature must differ by.
+DEVIATIONS = 4.0
+#: Words a task remembers the features of, and the longest of them.
+HELD_WORDS = 200_000
 HELD_CHARS = 64
 
 WORD = re.compile(r"\w+")
 
 
-def word_features(word: str) -> np.ndarray:
+def word_features(word: str) -> tuple[int, ...]:
     """Hashed buckets of a word and its parts."""
     import xxhash
 
     parts = {word[i : i + n] for n in PARTS for i in range(len(word) - n + 1)}
-    seen = {xxhash.xxh32_intdigest(part) for part in (*parts, f"<{word}>")}
-    return np.array(sorted(x >> (32 - BUCKET_BITS) for x in seen), np.int32)
+    parts.add(f"<{word}>")
+    return tuple(xxhash.xxh32_intdigest(part) >> (32 - BUCKET_BITS) for part in parts)
 
 
-def words(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+class Features:
+    """Buckets of the words of a text; those of each distinct word are remembered.
 
+    With ``telling``, only these buckets count.
+    """
+
+    def __init__(self, telling: set[int] | None = None) -> None:
+        self.telling = telling
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def of_word(self, word: str) -> tuple[int, ...]:
+        found = self.known.get(word)
+        if found is None:
+            found = word_features(word)
+            if self.telling is not None:
+                found = tuple(x for x in found if x in self.telling)
+            if len(word) <= HELD_CHARS:
+                self.known[word] = found
+        return found
 
-def text_features(text: str | None) -> np.ndarray:
-    """Distinct buckets of all words of a text."""
-    found = [word_features(w) for w in words(text)]
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int32)
+    def of_text(self, text: str | None) -> set[int]:
+        found = set().union(*map(self.of_word, set(WORD.findall((text or "").lower()))))
+        if len(self.known) > HELD_WORDS:
+            self.known.clear()
+        return found
 
 
 @dataclass
@@ -68,12 +87,17 @@ class Sparse:
     @classmethod
     def of(cls, rows: list[np.ndarray]) -> Sparse:
         flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-        return cls(flat, np.cumsum([len(r) for r in rows]))
+        return cls(flat, np.cumsum([len(r) for r in rows], dtype=np.int64))
 
     def take(self, chosen: np.ndarray) -> Sparse:
         starts = np.concatenate([[0], self.ends[:-1]])
         return Sparse.of([self.buckets[starts[i] : self.ends[i]] for i in chosen])
 
+    def only(self, kept: np.ndarray) -> Sparse:
+        here = kept[self.buckets]
+        before = np.concatenate([[0], np.cumsum(here)])
+        return Sparse(self.buckets[here], before[self.ends])
+
     def __len__(self) -> int:
         return len(self.ends)
 
@@ -90,13 +114,27 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def telling(positive: Sparse, unlabelled: Sparse, size: int) -> np.ndarray:
+    """Whether the texts of both samples differ by ``DEVIATIONS`` in how many have a bucket."""
+    n_p, n_u = len(positive), len(unlabelled)
+    with_p, with_u = (x.spread(np.ones(len(x)), size) for x in (positive, unlabelled))
+    share = (with_p + with_u) / (n_p + n_u)
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n_p + 1 / n_u))
+    return np.abs(with_p / n_p - with_u / n_u) >= DEVIATIONS * spread
+
+
 def train(positive: Sparse, unlabelled: Sparse, prior: float, seed: int) -> np.ndarray:
-    """Weights of the buckets and, last, the offset; logistic loss, Adam steps.
+    """Weights of the buckets and, last, the offset; sigmoid loss, Adam steps.
 
     Risk: ``prior * E_p[l(+)] + max(0, E_u[l(-)] - prior * E_p[l(-)])``. While
     the second part is below zero, a step lowers its absolute value instead.
+    Buckets that tell the samples not apart have weight 0.
     """
     size = 1 << BUCKET_BITS
+    if not len(positive) or not len(unlabelled):
+        return np.append(np.zeros(size), np.log(prior / (1 - prior)))
+    kept = telling(positive, unlabelled, size)
+    positive, unlabelled = positive.only(kept), unlabelled.only(kept)
     dice = np.random.default_rng(seed)
     w = np.zeros(size + 1)
     w[-1] = np.log(prior / (1 - prior))
@@ -110,10 +148,10 @@ def train(positive: Sparse, unlabelled: Sparse, prior: float, seed: int) -> np.n
                 continue
             p, u = positive.take(p_part), unlabelled.take(u_part)
             z_p, z_u = p.sums(w[:-1]) + w[-1], u.sums(w[:-1]) + w[-1]
-            negative = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
-            up, down = prior * sigmoid(z_p) / len(p), sigmoid(z_u) / len(u)
-            if negative >= 0:
-                g_p, g_u = -prior * sigmoid(-z_p) / len(p) - up, down
+            s_p, s_u = sigmoid(z_p), sigmoid(z_u)
+            up, down = prior * s_p * (1 - s_p) / len(p), s_u * (1 - s_u) / len(u)
+            if s_u.mean() - prior * s_p.mean() >= 0:
+                g_p, g_u = -2 * up, down
             else:
                 g_p, g_u = up, -down
             slope = np.empty_like(w)
@@ -168,16 +206,17 @@ def learn(
     lots = F.explode(F.sequence(F.lit(0), F.lit(CLASSIFIERS - 1)))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Features()
         for batch in batches:
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "kinds": batch["kinds"],
-                "buckets": [text_features(t) for t in batch["text"]],
+                "buckets": [sorted(known.of_text(t)) for t in batch["text"]],
             })
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("doc_id")
         groups = [
-            Sparse.of([np.asarray(b) for b, k in zip(part["buckets"], part["kinds"], strict=True)
+            Sparse.of([np.asarray(b, np.int32) for b, k in zip(part["buckets"], part["kinds"], strict=True)
                        if kind in k])
             for kind in (1, 0)
         ]
@@ -212,28 +251,13 @@ def score(
     @F.arrow_udf("double")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = shared.value
-        held: dict[str, np.ndarray] = {}
+        known = Features(set(np.flatnonzero(table[:, :-1].any(axis=0)).tolist()))
         for batch in batches:
             found = []
             for text in batch:
-                if not len(table):
-                    found.append(0.0)
-                    continue
-                parts = []
-                for word in words(text.as_py()):
-                    buckets = held.get(word)
-                    if buckets is None:
-                        buckets = word_features(word)
-                        if len(word) <= HELD_CHARS:
-                            held[word] = buckets
-                    parts.append(buckets)
-                z = table[:, -1].astype(float)
-                if parts:
-                    used = np.unique(np.concatenate(parts))
-                    z = z + table[:, used].sum(axis=1, dtype=float)
-                found.append(float(sigmoid(z).mean()))
-                if len(held) > HELD_WORDS:
-                    held.clear()
+                used = list(known.of_text(text.as_py()))
+                z = table[:, -1] + table[:, used].sum(axis=1, dtype=float)
+                found.append(float(sigmoid(z).mean()) if len(table) else 0.0)
             yield pa.array(found, pa.float64())
 
     return columns(df, doc_id=id_col, text=text_col).select("doc_id", judge("text").alias("score"))
