@@ -233,7 +233,8 @@ def learn(
         "kinds", F.when(F.col("lot") == lot, F.col("kinds")).otherwise(F.array_intersect("kinds", F.array(F.lit(1))))
     )
     fitted = dealt.groupBy("lot").applyInPandas(fit, "lot int, weights binary")
-    return np.array([np.frombuffer(r["weights"], np.float32) for r in fitted.orderBy("lot").collect()])
+    rows = sorted(fitted.collect(), key=lambda r: r["lot"])  # one a classifier
+    return np.array([np.frombuffer(r["weights"], np.float32) for r in rows])
 
 
 def score(
