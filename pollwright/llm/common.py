@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A table of ids up to this many rows (16 bytes each) may be broadcast.
 BROADCAST_ROWS = 2_000_000
+#: Bytes of text that a Python step works on at once.
+BLOCK_BYTES = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +63,17 @@ def semi_join(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") ->
     return df.join(small(ids), on, how)
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of a batch with about so many bytes of text together."""
+    sizes = np.cumsum([n or 0 for n in pc.binary_length(batch[column]).to_pylist()])
+    begin = 0
+    while begin < len(sizes):
+        before = sizes[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, before + size, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of a key's text, modulo the number of folds; a null key counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(folds))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pollwright.llm.common import columns, cut, semi_join
+from pollwright.llm.common import columns, cut, semi_join, slices
 from pollwright.llm.graph import components
 
 #: Texts that have an n-gram are counted in a table of this many buckets.
@@ -120,9 +120,9 @@ def prefixes(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> D
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch, "_text")):
             tokens, keys, sizes, lengths = [], [], [], []
-            for text in batch["_text"]:
+            for text in part["_text"]:
                 s = shingles(text.as_py(), words)
                 key = fingerprint(s)
                 if not len(s) or key in seen:
@@ -151,12 +151,12 @@ def whole_sets(docs: DataFrame, words: int) -> DataFrame:
     """``node, s``: whole sets."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t.as_py(), words) for t in batch["_text"]]
+        for part in (p for batch in batches for p in slices(batch, "_text")):
+            sets = [shingles(t.as_py(), words) for t in part["_text"]]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                [part["doc_id"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                 ["node", "s"],
             )
 

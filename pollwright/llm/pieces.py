@@ -17,16 +17,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from pollwright.llm.common import columns
+from pollwright.llm.common import columns, slices
 
 MARK = "▁"
-#: Entries of a task's chunk table, characters of an entry, bytes of text encoded at once.
+#: Entries of a task's chunk table, characters of an entry.
 TABLE_CHUNKS = 150_000
 ENTRY_CHARS = 64
-BLOCK_BYTES = 400_000
 
 
 def load(model: str):
@@ -85,18 +83,6 @@ class ChunkTable:
         return found
 
 
-def blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Ids and texts of neighbouring rows with about ``BLOCK_BYTES`` of text together."""
-    sizes = np.cumsum([n or 0 for n in pc.binary_length(batch["text"]).to_pylist()])
-    begin = 0
-    while begin < len(sizes):
-        before = sizes[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(sizes, before + BLOCK_BYTES, "right")))
-        rows = batch.slice(begin, end - begin)
-        yield rows["doc_id"], [t or "" for t in rows["text"].to_pylist()]
-        begin = end
-
-
 def lists(ids: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
     flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
@@ -149,9 +135,9 @@ def round_trip(
         processor = load(model)
         chunks, table = ChunkTable(processor), PieceTable(processor)
         for batch in batches:
-            for keys, texts in blocks(batch):
-                ids = chunks.encode(texts)
-                found, names = [keys, lists(ids)], ["doc_id", "ids"]
+            for part in slices(batch, "text"):
+                ids = chunks.encode([t or "" for t in part["text"].to_pylist()])
+                found, names = [part["doc_id"], lists(ids)], ["doc_id", "ids"]
                 if back:
                     found.append(pa.array([table.decode(x.tolist()) for x in ids], pa.string()))
                     names.append("decoded")
