@@ -63,6 +63,15 @@ def semi_join(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") ->
     return df.join(small(ids), on, how)
 
 
+def sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of at most so many keys, those of the smallest hash: the same ones on every run.
+
+    Only keys are ranked; rows without key are left out.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    return semi_join(df, keys.orderBy(F.xxhash64(key), key).limit(rows), key)
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Neighbouring rows of a batch with about so many bytes of text together."""
     sizes = np.cumsum([n or 0 for n in pc.binary_length(batch[column]).to_pylist()])

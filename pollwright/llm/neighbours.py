@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pollwright.llm.common import columns, cut
+from pollwright.llm.common import columns, cut, sample
 
 #: Vectors that a rotation is learned from at most, rotations, steps of learning.
 SAMPLE = 20_000
@@ -155,8 +155,8 @@ def search(
     schema = "query_id long, vec_id long, score double"
     if not rows:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = known.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
-    codes = learn(np.stack(sample["v"].to_numpy()), norm)
+    taken = sample(known, "vec_id", SAMPLE).toPandas().sort_values("vec_id")
+    codes = learn(np.stack(taken["v"].to_numpy()), norm)
     parts, blocks = -(-rows // PART_ROWS), max(1, -(-asked // BLOCK_QUERIES))
 
     def dealt(of: DataFrame, own: str, n: int, other: str, copies: int) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pollwright.llm.common import columns, semi_join
+from pollwright.llm.common import columns, sample, semi_join
 
 BUCKET_BITS = 18
 #: Word parts of these lengths are features, besides the word itself.
@@ -165,11 +165,6 @@ def train(positive: Sparse, unlabelled: Sparse, prior: float, seed: int) -> np.n
     return w
 
 
-def sample(df: DataFrame, rows: int) -> DataFrame:
-    """So many rows at most, by the hash of their id: the same ones on every run."""
-    return df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-
-
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -196,8 +191,8 @@ def learn(
         return np.empty((0, (1 << BUCKET_BITS) + 1))
     prior = float(np.clip(confirmed / known, 0.001, 0.9))
     toxic = marks.filter("toxic = 1").select("doc_id").distinct()
-    taken = sample(toxic, positives)
-    other = sample(texts.select("doc_id").distinct(), unlabelled)
+    taken = sample(toxic, "doc_id", positives)
+    other = sample(texts.select("doc_id"), "doc_id", unlabelled).distinct()
     chosen = (
         taken.withColumn("kind", F.lit(1)).unionByName(other.withColumn("kind", F.lit(0)))
     )

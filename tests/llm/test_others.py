@@ -307,3 +307,9 @@ def test_the_entry_works_without_this_package(tmp_path):
         cwd=tmp_path, capture_output=True, text=True, timeout=120,
     )
     assert said.returncode == 0 and int(said.stdout.split()[0]) > 80 and "[]" in said.stdout, said.stderr
+
+
+def test_models_without_data(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    trees = extraction.learn(pages.limit(0))
+    assert extraction.extract(pages.limit(3), trees).count() == 3
