@@ -332,3 +332,22 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("_component")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def oracle(words: int, percent: int) -> str:
+    """The same by joining all n-grams and following links, over ``documents``."""
+    big = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{big}', '{big.lower()}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {words - 2}),
+        lambda i: array_to_string(w[i:i + {words - 1}], ' '))) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n + b.n) AS n
+    FROM e a JOIN e b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM c WHERE 100 * c >= {percent} * (n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT x, b FROM reach JOIN links ON y = a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id) AS component_id
+FROM s"""

@@ -51,6 +51,9 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+ORACLES["op3_ngram_jaccard"] = jaccard.oracle(3, 90)
+
+
 @register
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = pieces.round_trip(table(spark, sf_dir, "documents"), piece_model())
