@@ -17,6 +17,14 @@ BROADCAST_ROWS = 2_000_000
 BLOCK_BYTES = 400_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python a thousand at a time: a batch takes buffers on both sides.
+
+    For sessions of this package's queries and pipeline; operators leave settings alone.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,15 +20,20 @@ from pollwright.llm import (
     sharding,
     toxicity,
 )
-from pollwright.llm.common import fold, table
+from pollwright.llm.common import fold, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def register(run: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = query
+    return query
 
 
 def piece_model() -> str:
