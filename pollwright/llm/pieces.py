@@ -23,7 +23,7 @@ from pollwright.llm.common import columns, slices
 
 MARK = "▁"
 #: Entries of a task's chunk table, characters of an entry.
-TABLE_CHUNKS = 150_000
+TABLE_CHUNKS = 50_000
 ENTRY_CHARS = 64
 
 
