@@ -267,6 +267,21 @@ def test_planted_passages_are_found_and_cut(spark):
     assert passages.repeated_passages(empty(spark)).count() == 0
 
 
+def test_passages_with_own_words_between_are_found(spark):
+    dice = random.Random(5)
+    rows, wanted = [], {}
+    for n, gap in enumerate([20, 31, 40, 60, 80, 120, 150, 200]):
+        one, two = prose(dice, 60), prose(dice, 60)
+        rows.append((2 * n, " ".join(prose(dice, 20) + one + prose(dice, gap) + two)))
+        rows.append((2 * n + 1, " ".join(prose(dice, 9) + one + prose(dice, gap) + two)))
+        wanted[2 * n + 1] = {*range(9, 69), *range(69 + gap, 129 + gap)}
+    covered = {}
+    for r in passages.repeated_passages(texts(spark, rows)).collect():
+        covered.setdefault(r["doc_id"], set()).update(range(r["start"], r["stop"]))
+    assert all(words <= covered.get(i, set()) for i, words in wanted.items())
+    assert all(len(covered[i]) == 120 for i in wanted if i > 3)
+
+
 # --- languages and toxicity --------------------------------------------------
 
 
