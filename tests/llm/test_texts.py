@@ -282,6 +282,35 @@ def test_passages_with_own_words_between_are_found(spark):
     assert all(len(covered[i]) == 120 for i in wanted if i > 3)
 
 
+def unchanged(bodies, n=50):
+    """Words of each text in runs of n words that a text with a smaller id has."""
+    seen, found = set(), {}
+    for i, body in sorted(bodies.items()):
+        runs = [(at, tuple(body[at : at + n])) for at in range(len(body) - n + 1)]
+        found[i] = {w for at, run in runs if run in seen for w in range(at, at + n)}
+        seen |= {run for _, run in runs}
+    return found
+
+
+def missed(spark, bodies):
+    left = unchanged(bodies)
+    for r in passages.repeated_passages(texts(spark, [(i, " ".join(b)) for i, b in bodies.items()])).collect():
+        a, b = bodies[r["doc_id"]][r["start"] : r["stop"]], bodies[r["source_id"]][r["source_start"] : r["source_stop"]]
+        assert r["source_id"] < r["doc_id"] and len(a) >= 50 and (r["n_same"] < len(a) or a == b)
+        left[r["doc_id"]] -= set(range(r["start"], r["stop"]))
+    return {i: len(words) for i, words in left.items() if words}
+
+
+def test_passages_of_sentences_that_also_stand_alone_are_found(spark):
+    dice, bodies = random.Random(6), []
+    for n in [50, 60, 75, 90] * 5:
+        parts = [prose(dice, n // 3) for _ in range(2)]
+        parts.append(prose(dice, n - 2 * (n // 3)))
+        alone = lambda: [prose(dice, 12) + p + prose(dice, 12) for p in parts]
+        bodies += [*alone(), prose(dice, 30) + sum(parts, []), *alone(), prose(dice, 7) + sum(parts, []) + prose(dice, 9)]
+    assert missed(spark, dict(enumerate(bodies))) == {}
+
+
 # --- languages and toxicity --------------------------------------------------
 
 
