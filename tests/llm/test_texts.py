@@ -311,6 +311,21 @@ def test_passages_of_sentences_that_also_stand_alone_are_found(spark):
     assert missed(spark, dict(enumerate(bodies))) == {}
 
 
+def test_repeated_lines_are_found(spark):
+    dice, bodies, edited = random.Random(9), {}, {}
+    for n in range(0, 20, 2):
+        line, other = prose(dice, 7), prose(dice, 31)
+        bodies[n] = prose(dice, 11) + line * 20 + prose(dice, 10) + other * 5
+        bodies[n + 1] = prose(dice, 17) + line * (12 + n) + prose(dice, 10) + other * 6
+        copy = [("zz" if i % 18 == 9 else w) for i, w in enumerate(other * 5)]
+        edited[n], edited[n + 1] = prose(dice, 20) + other * 5, prose(dice, 30) + copy
+    assert missed(spark, bodies) == {}
+    found = {}
+    for r in passages.repeated_passages(texts(spark, [(i, " ".join(b)) for i, b in edited.items()])).collect():
+        found.setdefault(r["doc_id"], set()).update(range(r["start"], r["stop"]))
+    assert set(found) == set(range(1, 20, 2)) and all(len(found[i]) >= 150 for i in found)
+
+
 # --- languages and toxicity --------------------------------------------------
 
 
