@@ -326,6 +326,20 @@ def test_repeated_lines_are_found(spark):
     assert set(found) == set(range(1, 20, 2)) and all(len(found[i]) >= 150 for i in found)
 
 
+def test_splitting_lists_of_frequent_seeds_changes_no_row(spark, monkeypatch):
+    dice = random.Random(12)
+    often, edited = prose(dice, 60), prose(dice, 64)
+    bodies = [prose(dice, 20) + often[n % 4 :] + prose(dice, 20) for n in range(50)]
+    for n in range(40):
+        copy = [("zz" if i % 16 == n % 16 else w) for i, w in enumerate(edited)]
+        bodies.append(prose(dice, 15) + copy + often[: 10 + n] + prose(dice, 15))
+    docs = texts(spark, [(i, " ".join(b)) for i, b in enumerate(bodies)])
+    plain = set(passages.repeated_passages(docs).collect())
+    monkeypatch.setattr(passages, "HOT_TIMES", 0)
+    monkeypatch.setattr(passages, "HOT_ROWS", 5)
+    assert set(passages.repeated_passages(docs).collect()) == plain and len(plain) > 100
+
+
 # --- languages and toxicity --------------------------------------------------
 
 
