@@ -340,6 +340,23 @@ def test_splitting_lists_of_frequent_seeds_changes_no_row(spark, monkeypatch):
     assert set(passages.repeated_passages(docs).collect()) == plain and len(plain) > 100
 
 
+def test_share_of_edited_passages_found(spark):
+    dice, rows, kinds = random.Random(14), [], {}
+    vocabulary = prose(dice, 5000)
+    for words, edits in [(55, 3), (55, 5), (55, 7), (100, 10), (100, 15)] * 40:
+        passage = dice.choices(vocabulary, k=words)
+        copy = list(passage)
+        for x in dice.sample(range(1, words - 1), edits):
+            copy[x] = "zz"
+        for body in (passage, copy):
+            rows.append((len(rows), " ".join(dice.choices(vocabulary, k=20) + body + dice.choices(vocabulary, k=20))))
+        kinds.setdefault((words, edits), set()).add(len(rows) - 1)
+    found = {r["doc_id"] for r in passages.repeated_passages(texts(spark, rows)).collect()}
+    shares = {kind: len(ids & found) / len(ids) for kind, ids in kinds.items()}
+    least = {(55, 3): 0.97, (55, 5): 0.95, (55, 7): 0.85, (100, 10): 0.97, (100, 15): 0.9}
+    assert all(shares[kind] >= x for kind, x in least.items()), shares
+
+
 # --- languages and toxicity --------------------------------------------------
 
 
