@@ -68,24 +68,26 @@ def _table(
 ) -> DataFrame:
     """Formats by the tasks seen, per ``by``; cells without questions read ``N/A``.
 
-    The cells are added up in one job and brought to the driver: a report has
-    as many rows as formats, for each model or whatever else it is told by.
+    Only the names of the tasks are brought to the driver, as they become columns.
     """
+    by = list(by)
+    if tasks is None:
+        seen = cells.select("dir_task").filter("dir_task is not null").distinct().collect()
+        tasks = sorted(r["dir_task"] for r in seen)
     totals = summarise(cells, *by, "format", "dir_task").filter(F.col("total") > 0)
-    seen = cells.select(*by, "dir_task").distinct().withColumns(
-        {"format": F.lit(None).cast("string"), "shown": F.lit(None).cast("string")}
+    groups = cells.select(*by).distinct() if by else cells.sparkSession.range(1)
+    each = F.explode(F.array(*(F.lit(f) for f in formats)))
+    empty = groups.withColumn("format", each).withColumns(
+        {"dir_task": F.lit(None).cast("string"), "shown": F.lit(None).cast("string")}
     )
-    names = [*by, "dir_task", "format", "shown"]
-    rows = totals.withColumn("shown", cell).select(*names).unionByName(seen).collect()
-    if tasks is None:
-        tasks = sorted({r["dir_task"] for r in rows if r["dir_task"] is not None})
-    shown = {(*(r[c] for c in by), r["format"], r["dir_task"]): r["shown"] for r in rows}
-    groups = sorted({tuple(r[c] for c in by) for r in rows}, key=str) if by else [()]
-    kinds = [f"`{c}` {dict(cells.dtypes)[c]}" for c in by] + [f"`{c}` string" for c in ("format", *tasks)]
-    found = [
-        (*g, f, *(shown.get((*g, f, t)) or "N/A" for t in tasks)) for g in groups for f in sorted(formats)
+    names = [*by, "format", "dir_task", "shown"]
+    rows = totals.withColumn("shown", cell).filter(F.col("format").isin(*formats)).select(*names).unionByName(
+        empty.select(*names)
+    ).groupBy(*by, "format")
+    shown = [
+        F.coalesce(F.max(F.when(F.col("dir_task") == t, F.col("shown"))), F.lit("N/A")).alias(t) for t in tasks
     ]
-    return cells.sparkSession.createDataFrame(found, ", ".join(kinds))
+    return (rows.agg(*shown) if shown else rows.agg(F.count("*")).select(*by, "format")).orderBy(*by, "format")
 
 
 def count_table(cells: DataFrame, tasks=None, formats=FORMATS, by=()) -> DataFrame:

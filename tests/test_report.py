@@ -29,6 +29,16 @@ def test_tables(spark):
     assert counts["xml"]["answer_lookup"] == "N/A"
 
 
+def test_tables_of_many_groups_stay_out_of_the_driver(spark):
+    rows = [(f"d{n}", "t", "md", n % 2, 2) for n in range(500)] + [(None, "u", "md", 1, 1)]
+    got = report.count_table(cells(spark, rows), by=["dataset"], formats=("md", "xml"))
+    assert "LocalTableScan" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in got._jdf.queryExecution().optimizedPlan().toString()
+    found = {(r["dataset"], r["format"]): (r["t"], r["u"]) for r in got.collect()}
+    assert len(found) == 1002 and found["d7", "md"] == ("1/2", "N/A") and found["d7", "xml"] == ("N/A", "N/A")
+    assert found[None, "md"] == ("N/A", "1/1")
+
+
 def test_skipped_rows_do_not_count(spark):
     rows = [("d", "t", "md", True, ""), ("d", "t", "md", False, " true "), ("d", "t", "md", False, None)]
     df = spark.createDataFrame(
