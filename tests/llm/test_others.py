@@ -87,6 +87,15 @@ def test_clutter_goes_and_text_is_decoded(spark, trees):
     assert extraction.extract(pages.limit(0), trees).count() == 0
 
 
+def test_trees_learn_from_whole_pages(spark, monkeypatch):
+    page = "<main>" + "<p>some words of a long page</p>" * 3_000 + "</main><footer>the end</footer>"
+    seen = []
+    monkeypatch.setattr(extraction, "examples", lambda pages: (seen.extend(pages), None))
+    monkeypatch.setattr(extraction.boosting, "fit", lambda x, y: None)
+    extraction.learn(spark.createDataFrame([(1, page)], "page_id long, html string"))
+    assert seen == [page] and len(page) > 30_000
+
+
 def test_choices_do_not_contradict():
     dice = random.Random(6)
     for _ in range(40):
