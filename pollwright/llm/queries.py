@@ -17,6 +17,7 @@ from pollwright.llm import (
     passages,
     perspectives,
     pieces,
+    ranking,
     sharding,
     toxicity,
 )
@@ -128,3 +129,17 @@ def op5_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_boosted_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return extraction.extract(pages, extraction.learn(pages))
+
+
+@register
+def op13_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    marks = table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = ranking.learn(docs.filter(~held_out), marks.filter(~held_out))
+    return ranking.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
