@@ -20,6 +20,7 @@ from pollwright.llm import (
     ranking,
     sharding,
     toxicity,
+    whitening,
 )
 from pollwright.llm.common import fold, small_batches, table
 
@@ -143,3 +144,8 @@ def op13_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@register
+def op11_multiplicity_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
