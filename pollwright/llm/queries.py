@@ -18,6 +18,7 @@ from pollwright.llm import (
     perspectives,
     pieces,
     ranking,
+    repair,
     sharding,
     toxicity,
     whitening,
@@ -149,3 +150,12 @@ def op13_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op11_multiplicity_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.report(repair.damage(turns), every=turns)
+
+
+ORACLES["op12_structure_repair"] = repair.oracle()
