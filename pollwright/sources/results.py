@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import io
-import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +13,10 @@ from pyspark.sql import types as T
 from pollwright.constants import PROMPT_COLUMNS, RESULT_COLUMNS, TASKS
 from pollwright.functions import paths
 from pollwright.functions.text import strip, unescape_csv
+from pollwright.sources import ranges
 
+#: Files up to this size are read as one value.
+WHOLE_BYTES = 64 << 20
 KEYS = ["dataset", "dir_task", "format"]
 ROW = T.StructType([T.StructField(c, T.StringType()) for c in PROMPT_COLUMNS])
 
@@ -29,11 +31,12 @@ def discover(files: DataFrame, base: str) -> DataFrame:
     return files.select("*", *_keys(base)).filter(F.col("format").isNotNull())
 
 
-def _texts(spark: SparkSession, base: str) -> DataFrame:
+def _texts(spark: SparkSession, base: str, whole_bytes: int) -> DataFrame:
     files = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{paths.RESULT_SUFFIX}")
         .text(base, wholetext=True)
+        .filter(F.col("_metadata.file_size") <= whole_bytes)
         .select("value", paths.decoded(F.col("_metadata.file_path")).alias("_path"))
     )
     return discover(files, base)
@@ -79,16 +82,48 @@ def file_rows(files: DataFrame) -> DataFrame:
     return rows.select(*kept, F.inline(found.cast(T.ArrayType(T.StructType(kinds)))))
 
 
-def read_results(spark: SparkSession, base: str) -> DataFrame:
+def _large(spark: SparkSession, base: str, whole_bytes: int) -> tuple[DataFrame, DataFrame] | None:
+    """Rows and broken records of the files over a size; None if there are none.
+
+    The size of the whole folder is asked for first, so a small collection
+    starts no job; then a job looks at the lengths of files.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getContentSummary(folder).getLength() <= whole_bytes:
+        return None
+    sizes = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*{paths.RESULT_SUFFIX}")
+        .load(base)
+        .select("length")
+    )
+    over = F.col("length") > whole_bytes
+    if not sizes.filter(over).limit(1).count():
+        return None
+    rows, broken = ranges.read_ranges(spark, base, F.col("_metadata.file_size") > whole_bytes)
+    return discover(rows, base), discover(broken, base)
+
+
+def read_results(spark: SparkSession, base: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """Rows of ``{base}/{dataset}/{task}/*_{format}_converted_prompts.csv``.
 
     Columns are found by the names in each file's header; missing ones are
     empty and others left out. A file without a valid row is recovered record
-    by record. A file is read by one task and must be under 2 GB, so convert
-    large collections to a table once (:func:`operators.sinks.write_results`,
-    :func:`sources.tables.read_table`).
+    by record. Files over ``whole_bytes`` are read in ranges by many tasks, with the
+    same rows (:mod:`sources.ranges`); their parsed rows are written to the checkpoint
+    folder, as whether a file is broken shows at its end only.
     """
-    return rows_of(_texts(spark, base)).select(*KEYS, *PROMPT_COLUMNS)
+    found = rows_of(_texts(spark, base, whole_bytes)).select(*KEYS, *PROMPT_COLUMNS)
+    large = _large(spark, base, whole_bytes)
+    if large is None:
+        return found
+    rows, broken = large
+    named = rows.select(*KEYS, *(F.col("row")[i].alias(c) for i, c in enumerate(PROMPT_COLUMNS)))
+    parsed = parse_record(broken).filter(F.col("_r.problem").isNull())
+    columns = [F.col(f"_r.{c}") if c != "skip" else F.lit("").alias(c) for c in PROMPT_COLUMNS]
+    return found.unionByName(named).unionByName(parsed.select(*KEYS, *columns))
 
 
 def rows_of(files: DataFrame) -> DataFrame:
@@ -103,9 +138,12 @@ def rows_of(files: DataFrame) -> DataFrame:
     return parsed.filter(whole | F.col("_r.problem").isNull()).select(*kept, *named)
 
 
-def quarantined(spark: SparkSession, base: str) -> DataFrame:
+def quarantined(spark: SparkSession, base: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """Records of broken files that cannot be recovered, with the reason."""
-    rows = file_rows(_texts(spark, base)).filter(F.col("record").isNotNull())
+    rows = file_rows(_texts(spark, base, whole_bytes)).filter(F.col("record").isNotNull()).select(*KEYS, "record")
+    large = _large(spark, base, whole_bytes)
+    if large is not None:
+        rows = rows.unionByName(large[1].select(*KEYS, "record"))
     return parse_record(rows).filter(F.col("_r.problem").isNotNull()).select(
         *KEYS, "record", F.col("_r.problem").alias("problem")
     )
@@ -130,40 +168,49 @@ _HEAD = rf"(?s)\A(case_\w+),(?:({'|'.join(TASKS)}),)?(.*)\z"
 # ----------------------------------------------------------------------------
 
 
-_SPECIAL = re.compile(r'["{}\[\],]')
-_STEP = {"{": (0, 1), "}": (0, -1), "[": (1, 1), "]": (1, -1)}
+#: What a record is made of where its fields are told apart: an escaped quote, one sign, or text between signs.
+_TOKENS = r'\\"|["\\{}\[\],]|[^"\\{}\[\],]++'
 
 
-def _split_outside(text: str) -> list[str]:
-    """Split on commas outside quotes, braces and brackets.
+def _outer_commas(tokens: Column) -> Column:
+    """Which tokens are commas outside quotes, braces and brackets, counted from 1.
 
-    A quote after a backslash does not open or close; depth may go below zero.
-    """
-    parts, start, quoted, depth = [], 0, False, [0, 0]
-    for match in _SPECIAL.finditer(text):
-        char, at = match.group(), match.start()
-        if char == '"':
-            quoted ^= at == 0 or text[at - 1] != "\\"
-        elif quoted:
-            continue
-        elif char != ",":
-            which, step = _STEP[char]
-            depth[which] += step
-        elif depth == [0, 0]:
-            parts.append(text[start:at].strip())
-            start = at + 1
-    last = text[start:].strip()
-    return [*parts, last] if last else parts
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def outer_fields(texts: pd.Series) -> pd.Series:
-    """Fields between commas outside quotes, braces and brackets.
-
-    Nesting depth is beyond regular expressions; this is the one Python step
-    and it sees recovered records only.
+    The fold's state is whether a quote is open and how deep braces and
+    brackets are nested. A quote after a backslash does not open or close;
+    depth may go below zero.
     """
-    return texts.map(lambda t: None if t is None else _split_outside(t))
+    def step(state: Column, token: Column) -> Column:
+        plain = ~state["quoted"]
+        depth = [
+            (state[name] + F.when(plain & (token == up), 1).when(plain & (token == down), -1).otherwise(0)).alias(name)
+            for name, up, down in (("braces", "{", "}"), ("brackets", "[", "]"))
+        ]
+        outside = plain & (token == ",") & (state["braces"] == 0) & (state["brackets"] == 0)
+        at = state["at"] + 1
+        found = F.when(outside, F.concat(state["found"], F.array(at))).otherwise(state["found"])
+        return F.struct(at.alias("at"), (state["quoted"] != (token == '"')).alias("quoted"), *depth, found.alias("found"))
+
+    begin = F.struct(
+        F.lit(0).alias("at"), F.lit(False).alias("quoted"), F.lit(0).alias("braces"), F.lit(0).alias("brackets"),
+        F.array().cast("array<int>").alias("found"),
+    )
+    return F.aggregate(tokens, begin, step, lambda state: state["found"])
+
+
+def with_outer_fields(rows: DataFrame, text: Column, name: str) -> DataFrame:
+    """Add the stripped fields between outer commas of a text; an empty last one does not count."""
+    kept = rows.columns
+    cut = rows.withColumn("_tokens", F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)))
+    cut = cut.withColumn("_commas", _outer_commas(F.col("_tokens")))
+    ends = F.concat("_commas", F.array(F.size("_tokens") + 1))
+    starts = F.concat(F.array(F.lit(0)), F.col("_commas"))
+    parts = F.transform(
+        F.arrays_zip(starts.alias("start"), ends.alias("end")),
+        lambda p: strip(F.array_join(F.slice("_tokens", p["start"] + 1, p["end"] - p["start"] - 1), "")),
+    )
+    cut = cut.withColumn(name, parts)
+    whole = F.when(F.element_at(name, -1) == "", F.slice(name, 1, F.size(name) - 1)).otherwise(F.col(name))
+    return cut.select(*kept, F.when(text.isNotNull(), whole).alias(name))
 
 
 def parse_record(rows: DataFrame) -> DataFrame:
@@ -186,8 +233,8 @@ def parse_record(rows: DataFrame) -> DataFrame:
         }
     )
     headed = (F.col("_case_id") != "") & (F.col("_task") != "")
-    rows = rows.withColumn("_fields", outer_fields(F.when(headed, F.col("_rest"))))
-    # Filters do not pass a generator, so the Python step runs once per record.
+    rows = with_outer_fields(rows.withColumn("_rest", F.when(headed, F.col("_rest"))), F.col("_rest"), "_fields")
+    # Filters do not pass a generator, so fields are told apart once per record.
     found = ["_Response", "_Correct", "_case_id", "_task", "_fields"]
     rows = rows.select(*kept, F.inline(F.array(F.struct(*found))))
     problem = (

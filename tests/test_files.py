@@ -2,6 +2,7 @@
 
 import csv
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -143,13 +144,35 @@ def test_record_recovery(spark):
     }
 
 
-def test_field_splitting():
-    split = results._split_outside
-    assert split('a, "b,c" ,{d,[e,f]},g') == ["a", '"b,c"', "{d,[e,f]}", "g"]
-    assert split(r'a "\",", b') == [r'a "\","', "b"]
-    assert split("a},b,c") == ["a},b,c"]
-    assert split("a,,b,") == ["a", "", "b"]
-    assert split("") == []
+def split_outside(text):
+    """Fields between commas outside quotes, braces and brackets, character by character."""
+    parts, start, quoted, depth = [], 0, False, {"{}": 0, "[]": 0}
+    for at, char in enumerate(text):
+        if char == '"':
+            quoted ^= not text[:at].endswith("\\")
+        elif not quoted and char == "," and not any(depth.values()):
+            parts.append(text[start:at].strip())
+            start = at + 1
+        elif not quoted:
+            for pair in depth:
+                depth[pair] += (char == pair[0]) - (char == pair[1])
+    last = text[start:].strip()
+    return [*parts, last] if last else parts
+
+
+def test_field_splitting(spark):
+    dice = random.Random(1)
+    texts = ['a, "b,c" ,{d,[e,f]},g', r'a "\",", b', "a},b,c", "a,,b,", "", ",", " ", r'\\",x', "[" * 2000 + "," + "]" * 2000 + ",e"]
+    texts += ["".join(dice.choice('ab ,,""\\{}[]\n') for _ in range(dice.randrange(40))) for _ in range(500)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "text string")
+    found = {r["text"]: r["fields"] for r in results.with_outer_fields(rows, F.col("text"), "fields").collect()}
+    assert found == {None: None} | {t: split_outside(t) for t in texts}
+
+
+def test_recovery_runs_without_python(spark):
+    files = spark.createDataFrame([(1, BROKEN)], "file int, value string")
+    plan = results.recovered(files)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_broken_files_are_found_and_recovered(spark, tmp_path):
