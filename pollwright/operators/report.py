@@ -29,16 +29,24 @@ def percentage_text(correct: Column, total: Column) -> Column:
     return F.concat(F.format_number(percentage(correct, total), 1), F.lit("%"))
 
 
-def accuracy(scored: DataFrame, group: list[str] | None = None) -> DataFrame:
+def accuracy(scored: DataFrame, group: list[str] | None = None, file: str | None = None) -> DataFrame:
     """Correct and total of the rows not skipped, per group.
 
-    A group whose rows are all skipped stays, with total 0.
+    A group whose rows are all skipped stays, with total 0. Rows of several files
+    of one group are added up; where ``file`` names a column with the file of a row, the
+    last file of each group, by its name, counts alone.
     """
+    group = group or GROUP
     counted = ~is_skipped(F.col("skip"))
-    totals = scored.groupBy(*(group or GROUP)).agg(
+    totals = scored.groupBy(*group, *([file] if file else [])).agg(
         F.count_if(counted & F.col("is_correct")).alias("correct"),
         F.count_if(counted).alias("total"),
     )
+    if file:
+        # rows without a file come before all others
+        place = F.struct(F.col(file).isNotNull(), F.col(file))
+        last = F.max_by(F.struct("correct", "total"), place)
+        totals = totals.groupBy(*group).agg(last.alias("_last")).select(*group, "_last.*")
     return totals.withColumn("percentage", percentage(F.col("correct"), F.col("total")))
 
 

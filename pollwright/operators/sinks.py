@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Columns of the folders of a result table.
+FOLDER = ["dataset", "dir_task", "format"]
 
 CSV = {
     "header": True,
@@ -50,7 +56,79 @@ def write_prompts(rows: DataFrame, path: str, *leading: str, **how) -> None:
 
 def write_results(scored: DataFrame, path: str, **how) -> None:
     """Scored rows as a new table, ``skip`` included; the input stays as it was."""
-    write_table(scored, path, ["dataset", "dir_task", "format"], **how)
+    write_table(scored, path, FOLDER, **how)
+
+
+def changed_folders(updated: DataFrame, folder: list[str] = FOLDER) -> DataFrame:
+    """All rows of the folders in which some row is ``changed``, without that column.
+
+    Only the names of such folders are moved, and pruned by them the rows of
+    other folders aren't read where the table is partitioned by ``folder``.
+    """
+    names = updated.filter("changed").select(*folder).distinct()
+    return updated.drop("changed").join(names, folder, "left_semi")
+
+
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}__changed"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def finish_rewrite(spark: SparkSession, path: str, folder: list[str] = FOLDER, source: str = "parquet") -> bool:
+    """Put changed folders that lie complete beside a table in its place; whether there were any.
+
+    The folders beside are kept until all are in place, so a job lost here, with
+    some folders replaced or gone, is made good by doing this again.
+    """
+    staged = _staged(path)
+    if not _exists(spark, f"{staged}/_SUCCESS"):
+        return False
+    from pollwright.sources.tables import read_table
+
+    options = CSV if source == "csv" else {}
+    (
+        read_table(spark, staged, source).hint("rebalance", *folder)
+        .write.partitionBy(*folder).mode("overwrite").format(source).options(**options)
+        .option("partitionOverwriteMode", "dynamic").save(path)
+    )
+    gone = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return True
+
+
+def rewrite_changed(
+    spark: SparkSession,
+    path: str,
+    update: Callable[[DataFrame], DataFrame],
+    folder: list[str] = FOLDER,
+    source: str = "parquet",
+) -> bool:
+    """Update a result table in place, only those folders in which a row is ``changed``; whether there were any.
+
+    ``update`` takes the table's rows and returns them with ``changed``, as
+    :func:`operators.evaluate.update_flags` does. Columns the table doesn't have
+    are dropped. Changed folders are first written beside the table and then put in
+    place of the old ones; other folders keep their files. A rewrite that
+    was lost half-way is finished before the next one.
+    """
+    from pollwright.sources.tables import read_table
+
+    finish_rewrite(spark, path, folder, source)
+    rows = read_table(spark, path, source)
+    updated = update(rows).select(*rows.columns, "changed")
+    unnamed = F.col("changed") & F.greatest(*(F.col(c).isNull() for c in folder))
+    # whether a changed row has no folder; none without changed rows
+    worst = updated.filter("changed").agg(F.max(unnamed).alias("unnamed")).first()["unnamed"]
+    if worst is None:
+        return False
+    if worst:
+        raise ValueError(f"changed rows without {', '.join(folder)}")
+    write_table(changed_folders(updated, folder), _staged(path), folder, source, mode="overwrite")
+    return finish_rewrite(spark, path, folder, source)
 
 
 def write_documents(documents: DataFrame, path: str, **how) -> None:

@@ -82,6 +82,26 @@ def k4(spark, sf_dir):
     )
 
 
+_EDITED = "row_id % 499 = 7"
+
+
+@query(
+    "k4_changed_folders",
+    f"""WITH {SCORED},
+    edited AS (SELECT *, CASE WHEN {_EDITED} THEN 'edited' ELSE {FLAGS} END AS old FROM scored),
+    again AS (SELECT *, CASE WHEN skipped THEN old WHEN is_correct THEN 'True' ELSE 'False' END AS flag,
+      bool_or(NOT skipped AND {_EDITED}) OVER (PARTITION BY model, dataset, dir_task, format) AS rewritten
+      FROM edited)
+    SELECT row_id, model, dataset, dir_task, format, flag AS "Correct", skip FROM again WHERE rewritten""",
+)
+def k4_changed(spark, sf_dir):
+    """Folders to write anew after some flags of a scored table were edited."""
+    rows = evaluate.update_flags(evaluate.score(fixtures.results(spark, sf_dir))).drop("changed")
+    flag = F.when(F.expr(_EDITED), "edited").otherwise(F.col("Correct"))
+    again = evaluate.update_flags(rows.withColumn("Correct", flag))
+    return sinks.changed_folders(again, FILE_KEYS).select("row_id", *FILE_KEYS, "Correct", "skip")
+
+
 @query("f1_valid_cases", f"WITH {RESULTS} SELECT * FROM results WHERE starts_with({strip('case_id')}, 'case_')")
 def f1(spark, sf_dir):
     return filters.valid_cases(fixtures.results(spark, sf_dir))
@@ -207,6 +227,19 @@ def a1(spark, sf_dir):
     return cells(spark, sf_dir)
 
 
+@query(
+    "a1_last_file_of_a_key",
+    f"""WITH {SCORED}, files AS (SELECT dataset, dir_task, format, model,
+      count(*) FILTER (NOT skipped AND is_correct) AS correct, count(*) FILTER (NOT skipped) AS total
+      FROM scored WHERE starts_with({strip('case_id')}, 'case_') GROUP BY ALL),
+    lasts AS (SELECT *, row_number() OVER (PARTITION BY dataset, dir_task, format ORDER BY model DESC) AS r FROM files)
+    SELECT dataset, dir_task, format, correct, total, {oracle.PCT} AS percentage FROM lasts WHERE r = 1""",
+)
+def a1_last(spark, sf_dir):
+    """Each model's rows as one file of the same key: the last one stands."""
+    return report.accuracy(scored(spark, sf_dir), file="model")
+
+
 @query("a2_count_table", oracle.pivoted("CAST(c AS BIGINT) || '/' || CAST(t AS BIGINT)"))
 def a2(spark, sf_dir):
     return report.count_table(cells(spark, sf_dir))

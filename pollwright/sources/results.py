@@ -106,24 +106,28 @@ def _large(spark: SparkSession, base: str, whole_bytes: int) -> tuple[DataFrame,
     return discover(rows, base), discover(broken, base)
 
 
-def read_results(spark: SparkSession, base: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+def read_results(
+    spark: SparkSession, base: str, whole_bytes: int = WHOLE_BYTES, with_file: bool = False
+) -> DataFrame:
     """Rows of ``{base}/{dataset}/{task}/*_{format}_converted_prompts.csv``.
 
     Columns are found by the names in each file's header; missing ones are
     empty and others left out. A file without a valid row is recovered record
     by record. Files over ``whole_bytes`` are read in ranges by many tasks, with the
     same rows (:mod:`sources.ranges`); their parsed rows are written to the checkpoint
-    folder, as whether a file is broken shows at its end only.
+    folder, as whether a file is broken shows at its end only. ``with_file`` adds each
+    row's ``file``, for reports in which the last file of a group counts.
     """
-    found = rows_of(_texts(spark, base, whole_bytes)).select(*KEYS, *PROMPT_COLUMNS)
+    keys = [*KEYS, F.col("_path").alias("file")] if with_file else KEYS
+    found = rows_of(_texts(spark, base, whole_bytes)).select(*keys, *PROMPT_COLUMNS)
     large = _large(spark, base, whole_bytes)
     if large is None:
         return found
     rows, broken = large
-    named = rows.select(*KEYS, *(F.col("row")[i].alias(c) for i, c in enumerate(PROMPT_COLUMNS)))
+    named = rows.select(*keys, *(F.col("row")[i].alias(c) for i, c in enumerate(PROMPT_COLUMNS)))
     parsed = parse_record(broken).filter(F.col("_r.problem").isNull())
     columns = [F.col(f"_r.{c}") if c != "skip" else F.lit("").alias(c) for c in PROMPT_COLUMNS]
-    return found.unionByName(named).unionByName(parsed.select(*KEYS, *columns))
+    return found.unionByName(named).unionByName(parsed.select(*keys, *columns))
 
 
 def rows_of(files: DataFrame) -> DataFrame:

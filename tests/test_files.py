@@ -3,7 +3,9 @@
 import csv
 import json
 import random
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from pollwright.constants import PROMPT_COLUMNS, RESULT_COLUMNS
@@ -311,3 +313,75 @@ def test_tables_close_the_loop(spark, tmp_path):
     docs = spark.createDataFrame([("d", "t", "md", "case_1", "x\n")], "dataset string, task string, format string, case_id string, content string")
     sinks.write_documents(docs, str(tmp_path / "docs"))
     assert tables.read_table(spark, str(tmp_path / "docs")).select(docs.columns).collect() == docs.collect()
+
+
+def tree_of(folder):
+    return {str(f.relative_to(folder)): f.read_bytes() for f in folder.rglob("*") if f.is_file() and f.suffix in (".parquet", ".csv")}
+
+
+def scored_table(spark, path, source):
+    rows = [
+        (dataset, fmt, *row(f"case_{i}", expected_answer="B", Response="B" if i % 2 else "C", Correct=str(bool(i % 2)), skip=" true " if i == 3 else ""))
+        for dataset in ("d", "e", "f f=1") for fmt in ("md", "ttl") for i in range(5)
+    ]
+    df = spark.createDataFrame(rows, ["dataset", "format", *PROMPT_COLUMNS])
+    sinks.write_results(df.withColumn("dir_task", df["task"]), path, source=source)
+
+
+def edit(rows, where):
+    """Rows with wrong flags in some places, told as changed."""
+    new = F.when(F.expr(where), "edited").otherwise(F.col("Correct"))
+    return rows.withColumn("changed", ~new.eqNullSafe(F.col("Correct"))).withColumn("Correct", new)
+
+
+def rescored(rows):
+    return evaluate.update_flags(evaluate.score(rows))
+
+
+@pytest.mark.parametrize("source", ["parquet", "csv"])
+def test_only_changed_folders_are_written_anew(spark, tmp_path, source):
+    path = tmp_path / "results"
+    scored_table(spark, str(path), source)
+    first = sorted(map(repr, tables.read_table(spark, str(path), source).collect()))
+    before = tree_of(path)
+    assert not sinks.rewrite_changed(spark, str(path), rescored, source=source) and tree_of(path) == before
+    where = "dataset = 'f f=1' and format = 'ttl' and case_id in ('case_1', 'case_3') or dataset = 'd' and format = 'md' and case_id = 'case_2'"
+    assert sinks.rewrite_changed(spark, str(path), lambda rows: edit(rows, where), source=source)
+    edited = tree_of(path)
+    kept = {name for name in before if not name.startswith(("dataset=f f%3D1/dir_task=answer_lookup/format=ttl", "dataset=d/dir_task=answer_lookup/format=md"))}
+    assert kept == set(before) & set(edited) and all(before[n] == edited[n] for n in kept) and len(kept) == 4
+    assert sinks.rewrite_changed(spark, str(path), rescored, source=source)
+    again = tree_of(path)
+    assert all(again[n] == before[n] for n in kept) and set(again) & set(edited) == kept
+    rows = sorted(map(repr, tables.read_table(spark, str(path), source).collect()))
+    # a skipped row keeps what was written into it
+    assert rows == sorted(r.replace("Correct='True'", "Correct='edited'") if "f f=1" in r and "ttl" in r and "case_3" in r else r for r in first)
+    assert not sinks.rewrite_changed(spark, str(path), rescored, source=source) and tree_of(path) == again
+    assert not (tmp_path / "results__changed").exists()
+
+
+def test_a_lost_rewrite_is_finished(spark, tmp_path, monkeypatch):
+    path = tmp_path / "results"
+    scored_table(spark, str(path), "parquet")
+    where = "dataset = 'd'"
+    finish = sinks.finish_rewrite
+    lost = iter([False])
+    monkeypatch.setattr(sinks, "finish_rewrite", lambda *a: next(lost, None))
+    sinks.rewrite_changed(spark, str(path), lambda rows: edit(rows, where))
+    monkeypatch.setattr(sinks, "finish_rewrite", finish)
+    shutil.rmtree(path / "dataset=d" / "dir_task=answer_lookup" / "format=md")  # as if lost while folders were replaced
+    assert not sinks.rewrite_changed(spark, str(path), lambda rows: rows.withColumn("changed", F.lit(False)))
+    rows = tables.read_table(spark, str(path)).groupBy("dataset", "Correct").count().collect()
+    assert {(r["dataset"], r["Correct"]): r["count"] for r in rows} == {
+        ("d", "edited"): 10, ("e", "True"): 4, ("e", "False"): 6, ("f f=1", "True"): 4, ("f f=1", "False"): 6,
+    }
+
+
+def test_the_last_file_of_a_group_counts(spark, tmp_path):
+    folder = tmp_path / "d" / "t"
+    write_csv(folder / "a_md_converted_prompts.csv", PROMPT_COLUMNS, [row(f"case_{i}", expected_answer="B", Response="B") for i in range(3)])
+    write_csv(folder / "b_md_converted_prompts.csv", PROMPT_COLUMNS, [row("case_1", expected_answer="B", Response="C")])
+    write_csv(folder / "c_md_converted_prompts.csv", PROMPT_COLUMNS, [])
+    scored = evaluate.score(results.read_results(spark, str(tmp_path), with_file=True))
+    assert [(r["correct"], r["total"]) for r in report.accuracy(scored).collect()] == [(3, 4)]
+    assert [(r["correct"], r["total"]) for r in report.accuracy(scored, file="file").collect()] == [(0, 1)]
