@@ -107,6 +107,157 @@ def unescaped(text: Column) -> Column:
     return F.coalesce(read, F.regexp_replace(text, r"""\\(['"\\])""", "$1"))
 
 
+# Tokens of a nested literal: strings, numbers, keywords, signs; white space falls between
+# them, and any other character stands alone.
+_TOKENS = rf"(?s){_STRING}|{_NUMBER}(?![\w.])|\b(?:None|True|False|null|true|false)\b|[^\s]"
+_SIGNS = "[](){},:"
+_CLOSERS = "])}"
+
+
+def nested_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0))
+
+
+def _moves() -> dict[str, str]:
+    """What a pushdown automaton does: from level, last step and kind of token to an action.
+
+    Levels are ``.`` (outside), ``[``, ``(``, ``t`` (a tuple, once a comma is seen),
+    ``{`` (undecided), ``s`` (a set), ``k`` and ``d`` (a dict before and after a colon). Last
+    steps are ``o`` (opened), ``v`` (value), ``c`` (comma) and ``:``. An action is
+    ``+`` (push), ``-`` (pop) or ``=`` (replace the level), the new level, the step and
+    a mark: ``s`` for the comma of a tuple of one, ``b`` for a bracket around one value.
+    """
+    moves = {}
+    ends = {"]": "[", ")": "(t", "}": "{skd"}
+    after_comma = {"[": "[", "(": "t", "t": "t", "{": "s", "s": "s", "d": "k", ".": "."}
+    for level in ".[(t{skd":
+        for last in "oc:":
+            moves |= {level + last + opened: f"+{opened}o." for opened in "[({"}
+            moves[level + last + "v"] = f"={level}v."
+        if level in after_comma:
+            moves[level + "v,"] = f"={after_comma[level]}c{'s' if level == '(' else '.'}"
+        if level in "{k":
+            moves[level + "v:"] = "=d:."
+        for closer, levels in ends.items():
+            if level in levels:
+                steps = ("v" if level != "k" else "") + ("o" if level in "[({" else "") + ("c" if level in "[tsk" else "")
+                for last in steps:
+                    moves[level + last + closer] = f"-.v{'b' if level + last == '(v' else '.'}"
+    return moves
+
+
+def nested_structure(tokens: Column) -> Column:
+    """Whether tokens are a literal, and a mark for each: a fold with a stack of what is open.
+
+    Marks are ``t`` for commas outside all brackets, ``i`` for those inside the
+    first one, ``s`` and ``b`` as above; ``bare`` holds the places, from 1, of
+    brackets around one value that are no tuple. Lists, dicts and sets can't be keys or
+    members of sets.
+    """
+    table = F.create_map(*(F.lit(x) for pair in _moves().items() for x in pair))
+    kinds = F.transform(
+        tokens, lambda t: F.when(F.length(t) > 1, "v").when(t.isin(*_SIGNS), t).when(t.rlike(r"\d"), "v").otherwise("x")
+    )
+
+    def step(state: Column, kind: Column) -> Column:
+        stack, at = state["stack"], state["at"] + 1
+        hidden = kind.isin("[", "{") & stack.rlike("[{sk]")
+        key = F.concat(F.right(stack, F.lit(1)), state["last"], F.when(hidden, "x").otherwise(kind))
+
+        def move(code: Column) -> Column:
+            action, mark = F.left(code, F.lit(1)), F.right(code, F.lit(1))
+            below = F.left(stack, F.length(stack) - 1)
+            depth = F.length(stack)
+            opened, top = state["opened"], F.size(state["opened"])
+            place = F.when(mark != ".", mark).when((kind != ",") | (depth > 2), ".").when(depth == 2, "i").otherwise("t")
+            return F.struct(
+                F.when(action == "+", F.concat(stack, kind)).when(action == "-", below)
+                .otherwise(F.concat(below, F.substring(code, 2, 1))).alias("stack"),
+                F.coalesce(F.substring(code, 3, 1), F.lit("x")).alias("last"),
+                at.alias("at"),
+                F.when(action == "+", F.concat(opened, F.array(at))).when(action == "-", F.slice(opened, 1, top - 1))
+                .otherwise(opened).alias("opened"),
+                F.when(mark == "b", F.concat(state["bare"], F.array(F.get(opened, top - 1), at)))
+                .otherwise(state["bare"]).alias("bare"),
+                F.concat(state["marks"], F.coalesce(place, F.lit("."))).alias("marks"),
+            )
+
+        # the action is looked up once a token, and after an error nothing is found any more
+        return F.get(F.transform(F.array(F.try_element_at(table, key)), move), F.lit(0))
+
+    none = F.array().cast("array<int>")
+    begin = F.struct(
+        F.lit(".").alias("stack"), F.lit("o").alias("last"), F.lit(0).alias("at"), none.alias("opened"),
+        none.alias("bare"), F.lit("").alias("marks"),
+    )
+    return F.aggregate(kinds, begin, step, lambda s: F.struct(
+        ((s["stack"] == ".") & (s["last"] == "v")).alias("ok"), s["bare"].alias("bare"),
+        F.split(s["marks"], "").alias("marks"),
+    ))
+
+
+def printed_string(content: Column) -> Column:
+    """A text the way a printed container shows it: quoted, with escapes."""
+    plain = F.replace(content, F.lit("\\"), F.lit("\\\\"))
+    for char, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        plain = F.replace(plain, F.lit(char), F.lit(shown))
+
+    def shown_char(char: Column) -> Column:
+        code = F.lower(F.hex(F.ascii(char)))
+        size = F.length(code)
+        escape = (
+            F.when(size <= 2, F.concat(F.lit("\\x"), F.lpad(code, 2, "0")))
+            .when(size <= 4, F.concat(F.lit("\\u"), F.lpad(code, 4, "0")))
+            .otherwise(F.concat(F.lit("\\U"), F.lpad(code, 8, "0")))
+        )
+        return F.when(char.rlike(r"[\p{C}\p{Z}&&[^ ]]"), escape).otherwise(char)
+
+    hidden = plain.rlike(r"[\p{C}\p{Z}&&[^ ]]")
+    safe = F.when(hidden, F.array_join(F.transform(F.split(plain, ""), shown_char), "")).otherwise(plain)
+    double = safe.contains("'") & ~safe.contains('"')
+    single = F.concat(F.lit("'"), F.replace(safe, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    shown = F.when(double, F.concat(F.lit('"'), safe, F.lit('"'))).otherwise(single)
+    return F.when(content.rlike(r"\A[\w ,;:.-]*+\z"), F.concat(F.lit("'"), content, F.lit("'"))).otherwise(shown)
+
+
+def nested_items(tokens: Column, found: Column) -> Column:
+    """Items of a nested literal as they are printed: containers whole, strings among the items bare."""
+    def content(token: Column) -> Column:
+        inner = F.substring(token, F.lit(2), F.length(token) - 2)
+        return F.when(inner.contains("\\"), unescaped(inner)).otherwise(inner)
+
+    def printed(token: Column, place: Column) -> Column:
+        at, following = place + 1, F.get(tokens, place + 1)
+        words = F.create_map(*(F.lit(w) for w in ("null", "None", "true", "True", "false", "False")))
+        return (
+            F.when(F.array_contains(found["bare"], at), "")
+            .when(token == ",", F.when(~following.isin(*_CLOSERS), ", ").when(F.get(found["marks"], place) == "s", ",").otherwise(""))
+            .when(token == ":", ": ")
+            .when(token.rlike(r"\A['\"]"), printed_string(content(token)))
+            .when(token.isin(*"[](){}") | token.rlike(r"\A[1-9]\d{0,17}+\z"), token)
+            .when(token.rlike(r"\d"), printed_number(token))
+            .otherwise(F.coalesce(F.try_element_at(words, token), token))
+        )
+
+    wide = F.array_contains(found["marks"], "t")
+    shown = F.transform(tokens, printed)
+    places = F.transform(found["marks"], lambda m, i: F.when(m == F.when(wide, "t").otherwise("i"), i + 1))
+    cuts = F.filter(places, lambda p: p.isNotNull())
+    first = F.when(wide, 0).otherwise(1)
+    end = F.when(wide, F.size(tokens) + 1).otherwise(F.size(tokens))
+    begins, ends = F.concat(F.array(first), cuts), F.concat(cuts, F.array(end))
+    spans = F.filter(F.arrays_zip(begins.alias("begin"), ends.alias("end")), lambda s: s["end"] - s["begin"] > 1)
+
+    def item(span: Column) -> Column:
+        text = F.array_join(F.slice(shown, span["begin"] + 1, span["end"] - span["begin"] - 1), "")
+        at = F.sequence(span["begin"] + 1, span["end"] - 1)
+        kept = F.filter(at, lambda p: ~F.array_contains(found["bare"], p))
+        only = F.get(tokens, F.get(kept, F.lit(0)) - 1)
+        return strip(F.when((F.size(kept) == 1) & only.rlike(r"\A['\"]"), content(only)).otherwise(text))
+
+    return F.transform(spans, item)
+
+
 def comma_parts(text: Column) -> Column:
     """Parts between commas without the blanks and quotes around them."""
     outer = F.regexp_replace(text, r"""\A"*+'*+|'*+"*+\z""", "")
@@ -116,18 +267,23 @@ def comma_parts(text: Column) -> Column:
 def with_items(rows: DataFrame, text: Column, is_list: str, items: str) -> DataFrame:
     """Add an expected answer's items and whether it is a list.
 
-    A bracketed list of literals gives its items; otherwise two or more
-    comma-separated parts, none of them empty, give a list; anything else is a
+    A bracketed list of literals gives its items, nested ones as they are
+    printed; otherwise two or more comma-separated parts, none of them empty, give a list; anything else is a
     single value held as the only item. Each step is a projection of its own:
     the next uses it more than once, and short generated methods get compiled.
     """
     e, literal, parts = F.col("_text"), F.col("_literal"), F.col("_parts")
     keyword = literal & e.rlike("null|true|false")
+    nested, found = F.col("_nested"), F.col("_found_in")
+    bracketed = ~literal & e.startswith("[") & e.endswith("]") & e.rlike(r"(?s)\A.[^\[({]*+[\[({]")
     return (
         rows.withColumn("_text", unquoted(text))
         .withColumns(
             {"_literal": is_literal_list(e), "_parts": F.when(e.contains(","), comma_parts(e))}
         )
+        .withColumn("_nested", F.when(bracketed, nested_tokens(e)))
+        .withColumn("_found_in", F.when(nested.isNotNull(), nested_structure(nested)))
+        .withColumn("_nested", F.when(found["ok"], nested_items(nested, found)))
         .withColumns(
             {
                 "_text": F.when(keyword, _printed_keywords(e)).otherwise(e),
@@ -136,13 +292,13 @@ def with_items(rows: DataFrame, text: Column, is_list: str, items: str) -> DataF
         )
         .withColumns(
             {
-                is_list: literal | parts.isNotNull(),
+                is_list: literal | nested.isNotNull() | parts.isNotNull(),
                 items: F.when(literal, literal_items(e)).otherwise(
-                    F.coalesce(parts, F.array(e))
+                    F.coalesce(nested, parts, F.array(e))
                 ),
             }
         )
-        .drop("_text", "_literal", "_parts")
+        .drop("_text", "_literal", "_parts", "_nested", "_found_in")
     )
 
 

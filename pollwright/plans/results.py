@@ -200,6 +200,47 @@ def t14(spark, sf_dir):
     )
 
 
+#: Nested expected answers, what their items print as, by the order's number.
+_NESTED = [
+    ("[['{a}', \"{b}\"], ['{a}',],]", ["['{a}', '{b}']", "['{a}']"]),
+    ("[{'q': [{a},{b}], \"it's\": None}, '{p}']", ["{'q': [{a}, {b}], \"it's\": None}", "{p}"]),
+    ("[({a}.50,), (({b})), [[]], {}]", ["({a}.5,)", "{b}", "[[]]", "{}"]),
+    ('"[[true, {"b": null}], {a}]"', ["[True, {'b': None}]", "{a}"]),
+    ("[[{a}, {b}], [{a}]", ["[[{a}", "{b}]", "[{a}]"]),
+    ("[{a}], [{b}, [{a}]]", ["[{a}]", "[{b}, [{a}]]"]),
+]
+
+
+def _filled(value: str) -> str:
+    """SQL for a pattern with the order's values in it."""
+    out = oracle.text(value)
+    for name in ("a", "b", "p"):
+        out = f"replace({out}, '{{{name}}}', {name})"
+    return out
+
+
+_SHAPES = " ".join(f"WHEN {i} THEN [{', '.join(map(_filled, found))}]" for i, (_, found) in enumerate(_NESTED))
+
+
+@query(
+    "t14_nested_expected",
+    f"""WITH v AS (SELECT o_orderkey, CAST(o_orderkey % 90 + 1 AS VARCHAR) AS a,
+      CAST(o_custkey % 90 + 1 AS VARCHAR) AS b, o_orderpriority AS p FROM orders),
+    i AS (SELECT o_orderkey, CASE o_orderkey % {len(_NESTED)} {_SHAPES} END AS items FROM v)
+    SELECT o_orderkey, true AS is_list, len(items) AS n_items, array_to_string(items, '|') AS items FROM i""",
+)
+def t14_nested(spark, sf_dir):
+    orders = fixtures.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("p"),
+        (F.col("o_orderkey") % 90 + 1).alias("a"), (F.col("o_custkey") % 90 + 1).alias("b"),
+    )
+    shape = fixtures.pick([text for text, _ in _NESTED], F.col("o_orderkey") % len(_NESTED))
+    named = orders.withColumn("expected_answer", fixtures.fill(shape, a=F.col("a"), b=F.col("b"), p=F.col("p")))
+    return parsed(named).select(
+        "o_orderkey", "is_list", F.size("items").alias("n_items"), F.array_join("items", "|").alias("items")
+    )
+
+
 _NAMED = """s_name || ' case_' || s_suppkey || ' A' || (s_nationkey + 1) || ' HOSP_' || s_nationkey
     || ' Respondent' || s_suppkey || ' ' || s_acctbal || ' b7 A' || (s_nationkey + 1)"""
 

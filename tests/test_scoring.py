@@ -1,3 +1,9 @@
+import ast
+import json
+import random
+import re
+import warnings
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +203,63 @@ def test_items_are_stripped_after_their_quotes(spark, expected, response):
         [(expected, response, REVERSE)], "expected_answer string, Response string, task string"
     )
     assert evaluate.score(rows).first()["is_correct"]
+
+
+def read_expected(text):
+    """An expected answer read character by character with Python's own parsers."""
+    text = text.strip()
+    for quote in "\"'":
+        if text.startswith(quote) and text.endswith(quote):
+            text = text[1:-1].strip()
+            break
+    if text.startswith("[") and text.endswith("]"):
+        for parse in (ast.literal_eval, json.loads):
+            try:
+                return [str(item).strip() for item in parse(text)]
+            except (ValueError, SyntaxError, TypeError):
+                pass
+    parts = [part.strip().strip('"').strip("'") for part in text.split(",")]
+    return parts if len(parts) > 1 and all(parts) else text.strip()
+
+
+def random_literal(dice, depth):
+    kind = dice.random()
+    if not depth or kind < 0.35:
+        return dice.choice(["1", "2.5", "'a'", '"b c"', "None", "True", r"'it\'s'", "-7", "1e3", r'"say \"x\ny\""', "'é\u00a0'"])
+    inner = [random_literal(dice, depth - 1) for _ in range(dice.randrange(4))]
+    space, tail = dice.choice(["", " ", "\n"]), dice.choice(["", ","]) if inner else ""
+    if kind < 0.6:
+        return "[" + space + ("," + space).join(inner) + tail + "]"
+    if kind < 0.75:
+        return "(" + ",".join(inner) + tail + ")"
+    if kind < 0.92:
+        return "{" + ("," + space).join(f"'k{i}':{space}{v}" for i, v in enumerate(inner)) + tail + "}"
+    return "{1" + tail + "}"
+
+
+NESTED = [
+    "[[1,2],[3]]", "[['a', \"b's\"], ('x',), ('y','z',), (1), ('w')]", "[{'k': [1, 2.50], 'l': None}, {}]", "[{1,2}, set]", "[[[[]]]]",
+    "[[1,2]", "[1], [2]", "[ [1 ,2 ] , ]", '[{"a": true, "b": null}, [false]]', "[{'a': 1, 2}]", "[{[1]: 2}]", "[{(1,2): [3]}]",
+    "[[1,,2]]", "[[1 2]]", "[()]", "[(),]", "[((1))]", "[(((1,)))]", "[{'a':}]", "[[x]]", "[[1]]]", "[[1.0e5, 0x1F, -3, +4, 1_000]]",
+    "  \"[[1], ['b, c']]\"  ", "[[1],]", "[,]", "[[,]]", "[{1: 2, 3}]", "[{1, 2: 3}]", "[(1,]", "[{'x' 1}]", "[' [1] ', [ ' a ' ]]",
+    "[({'a'},)]", "[({({},): 1})]", "[" * 60 + "]" * 60, "[[" + "1, " * 3000 + "1]]", "[[" + "'x', " * 2000,
+]
+
+
+def test_nested_literals(spark):
+    """Nested containers print as Python prints them; what is no literal is read as before."""
+    dice = random.Random(4)
+    texts = list(NESTED)
+    for _ in range(300):
+        texts.append("[" + ",".join(random_literal(dice, 3) for _ in range(dice.randrange(1, 4))) + "]")
+        at = dice.randrange(len(texts[-1]))
+        if dice.random() < 0.4 and texts[-1][at - 1] != "\\":
+            texts.append(texts[-1][:at] + dice.choice("[](){},:' 1") + texts[-1][at + dice.randrange(2) :])
+    # of a dict's equal keys only the last counts, which is not read so
+    texts = [t for t in dict.fromkeys(texts) if not re.search(r"'k1'.*'k1'|'k0'.*'k0'", t, re.DOTALL)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = answers.with_items(rows, F.col("text"), "is_list", "items").collect()
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", SyntaxWarning)
+        wanted = {t: read_expected(t) for t in texts}
+    assert {r["text"]: r["items"] if r["is_list"] else r["items"][0] for r in found} == wanted
