@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = (
-    "e7_", "a1_accuracy", "a2_", "a3_", "f6_", "t1_", "t3_", "t12_", "t13_", "t14_", "t15_",
+    "e7_", "a1_accuracy", "a2_", "a3_", "f6_", "t1_", "t3_", "t12_", "t13_", "t14_parse", "t15_",
     "j1_", "j2_", "j3_", "k1_", "q", "s1_", "s2_", "s9_markdown_answers", "s10_turtle_answers",
     "s11_", "m",
 )
