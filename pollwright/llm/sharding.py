@@ -12,6 +12,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pollwright.llm.common import columns, cut, small
@@ -19,6 +20,8 @@ from pollwright.llm.common import columns, cut, small
 HASH_BITS = 60
 LEVEL_BITS = 12
 SHARD_BYTES = 32 << 20
+#: Rows of one overfull group that are numbered in one part.
+PART_ROWS = 100_000
 
 
 def hash_code(key: Column, text: Column) -> Column:
@@ -116,20 +119,33 @@ def placed(df: DataFrame, limit: int, id_col: str, text_col: str) -> DataFrame:
 
 def write(df: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id",
           text_col: str = "text") -> None:
-    """Write all columns of the rows as Parquet in a folder a shard (``shard=…``).
+    """Write the rows as Parquet in a folder a shard (``shard=…``), each as it is, with all columns.
 
-    Copies of a row are taken once from the table and repeated as often as their
-    pages say.
+    Rows that share an id and a text (null counts as empty) and overfill a
+    shard are numbered, in parts of ``PART_ROWS``, and dealt over its pages. A
+    column ``shard`` of the table gives way to that of the folders.
     """
-    plan = placed(df, limit, id_col, text_col).groupBy("_code", "shard").agg(
-        F.count("*").alias("_times")
+    shards = placed(df, limit, id_col, text_col).groupBy("_code").agg(
+        F.min("shard").alias("_first"), F.max("shard").alias("_last"),
+        F.count("*").alias("_rows"), F.max("n_bytes").alias("_size"),
     )
-    first = df.dropDuplicates([id_col, text_col])
-    named = first.join(plan, hash_code(first[id_col], first[text_col]) == plan["_code"]).select(
-        *(first[c] for c in df.columns), plan["shard"],
-        F.explode(F.sequence(F.lit(1).cast("long"), plan["_times"])).alias("_copy"),
+    whole = F.struct(*(c for c in df.columns if c != "shard")).alias("_row")
+    there = df.select(whole, hash_code(F.col(id_col), F.col(text_col)).alias("_code")).join(shards, "_code")
+    alone = there.filter("_first = _last").select("_row", F.col("_first").alias("shard"))
+    at = F.monotonically_increasing_id()
+    many = cut(there.filter("_first <> _last").withColumn("_at", at).withColumn(
+        "_part", F.pmod(F.xxhash64("_at"), F.ceil(F.col("_rows") / PART_ROWS))
+    ))
+    before = W.partitionBy("_code").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = many.groupBy("_code", "_part").agg(F.count("*").alias("_n")).select(
+        "_code", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    named.drop("_copy").repartition("shard").write.partitionBy("shard").parquet(path)
+    place = F.col("_offset") + F.row_number().over(W.partitionBy("_code", "_part").orderBy("_at")) - 1
+    room = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("_size", F.lit(1))))
+    name = F.concat_ws("-", F.substring_index("_first", "-", 1), F.floor(place / room).cast("string"))
+    dealt = many.join(offsets, ["_code", "_part"]).select("_row", name.alias("shard"))
+    rows = alone.unionByName(dealt).select("_row.*", "shard")
+    rows.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def oracle(limit: int = SHARD_BYTES) -> str:

@@ -220,6 +220,20 @@ def test_copies_are_dealt_over_pages(spark, tmp_path):
     assert sharding.assign(docs.limit(0), 40).count() == 0
 
 
+@pytest.mark.parametrize("part_rows", [4, 100_000])
+def test_shards_hold_the_rows_themselves(spark, tmp_path, monkeypatch, part_rows):
+    """Rows that share id and text keep their other columns; null and empty texts are two rows."""
+    monkeypatch.setattr(sharding, "PART_ROWS", part_rows)
+    rows = [(1, None, "a"), (1, "", "b"), (2, "x", "left"), (2, "x", "right"), (None, "x", None)]
+    rows += [(3, "y" * 10, str(i)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _code string").withColumn("shard", F.lit(5)).repartition(3)
+    sharding.write(docs, str(tmp_path / "out"), 40)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, ((r["doc_id"], r["text"], r["_code"]) for r in back.collect()))) == sorted(map(repr, rows))
+    sizes = back.groupBy("shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n")).collect()
+    assert all(r["n"] <= 40 for r in sizes) and len(sizes) >= 8
+
+
 # --- conversations -----------------------------------------------------------
 
 
