@@ -65,7 +65,8 @@ def changed_folders(updated: DataFrame, folder: list[str] = FOLDER) -> DataFrame
     Only the names of such folders are moved, and pruned by them the rows of
     other folders aren't read where the table is partitioned by ``folder``.
     """
-    names = updated.filter("changed").select(*folder).distinct()
+    # a filter on rows would be pushed below the scoring and repeat it; one on groups is not
+    names = updated.groupBy(*folder).agg(F.max("changed").alias("_any")).filter("_any").select(*folder)
     return updated.drop("changed").join(names, folder, "left_semi")
 
 
@@ -122,7 +123,7 @@ def rewrite_changed(
     updated = update(rows).select(*rows.columns, "changed")
     unnamed = F.col("changed") & F.greatest(*(F.col(c).isNull() for c in folder))
     # whether a changed row has no folder; none without changed rows
-    worst = updated.filter("changed").agg(F.max(unnamed).alias("unnamed")).first()["unnamed"]
+    worst = updated.agg(F.max(F.when(F.col("changed"), unnamed)).alias("unnamed")).first()["unnamed"]
     if worst is None:
         return False
     if worst:
