@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pollwright.plans import prompts, registry, results, survey  # noqa: F401
+from pollwright.plans import files, prompts, registry, results, survey  # noqa: F401
 
 
 def queries() -> dict[str, registry.Query]:

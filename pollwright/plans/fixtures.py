@@ -126,7 +126,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _document_keys(doc_id: Column) -> dict[str, Column]:
+def document_keys(doc_id: Column) -> dict[str, Column]:
     """Dataset, task and case together identify one document."""
     return {
         "dataset": text("ds", doc_id % 5),
@@ -138,7 +138,7 @@ def _document_keys(doc_id: Column) -> dict[str, Column]:
 def survey_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document in all formats but one; every seventh has all six."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    keys = _document_keys(F.col("doc_id"))
+    keys = document_keys(F.col("doc_id"))
     formats = F.posexplode(F.array(*map(F.lit, FORMATS))).alias("i", "format")
     return (
         docs.select("doc_id", "text", formats)
@@ -155,7 +155,7 @@ def survey_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     toxic = table(spark, sf_dir, "labels").filter(F.col("toxic") == 1)
-    keys = _document_keys(F.col("doc_id"))
+    keys = document_keys(F.col("doc_id"))
     return toxic.select(*(keys[c].alias(c) for c in ("dataset", "task", "case_id")))
 
 
@@ -169,7 +169,7 @@ def question_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.col("text").isNotNull())
     )
     n = F.col("conv_id")
-    keys = _document_keys(n)
+    keys = document_keys(n)
     template = F.concat(
         *(
             F.when(n % 8 == i, "")

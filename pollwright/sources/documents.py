@@ -13,14 +13,19 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
 
     Each file is one value; many small files share a task through Spark's file
     packing. Line ends of any kind become ``\\n``. Listing very many files takes
-    the driver long, so write the result as a table once
-    (:func:`operators.sinks.write_documents`, :func:`sources.tables.read_table`).
+    the driver long; :mod:`sources.manifest` lists them in tasks and reads only
+    what changed since the last time.
     """
     files = spark.read.text(f"{root.rstrip('/')}/*/*/*/*", wholetext=True)
-    path = paths.decoded(F.col("_metadata.file_path"))
-    keys = [c.alias(n) for n, c in paths.document_keys(path).items()]
+    path = paths.decoded(F.col("_metadata.file_path")).alias("_path")
+    return of_files(files.select(path, "value"), "_path").drop("_path")
+
+
+def of_files(files: DataFrame, path: str) -> DataFrame:
+    """Documents of file texts in ``value`` under their full paths, which stay; other files drop out."""
+    keys = [c.alias(n) for n, c in paths.document_keys(F.col(path)).items()]
     content = F.regexp_replace("value", r"\r\n?", "\n").alias("content")
-    return files.filter(paths.is_document(path)).select(*keys, content)
+    return files.filter(paths.is_document(F.col(path))).select(path, *keys, content)
 
 
 def read_skip_list(spark: SparkSession, path: str) -> DataFrame:

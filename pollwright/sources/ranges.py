@@ -77,18 +77,24 @@ def valid_rows(text: str, header: list[str], after: int = 0) -> tuple[list[list[
     return rows, False
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """Write a table to the checkpoint folder of the session and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, which all executors reach.
 
     A folder of its own is set only for a local session that names none.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     known = context._jsc.sc().getCheckpointDir()
     if not known.isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """Write a table to the checkpoint folder of the session and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
