@@ -50,14 +50,25 @@ def answer_lookup(answers: DataFrame, requests: DataFrame, per: Sequence[str] =
 
 
 def reverse_lookup(answers: DataFrame, criteria: DataFrame, per: Sequence[str] = SURVEY) -> DataFrame:
-    """Respondents giving each criterion's value; criteria: ``criterion``, ``per``, q_key, value."""
+    """Respondents giving each criterion's value; criteria: ``criterion``, ``per``, q_key, value.
+
+    The answers are gone over once: one aggregation tells, per criterion and respondent
+    and per criterion alone, whether there was a hit, so a criterion without any
+    needs no second look at them.
+    """
     who = answers.select(*per, "respondent_id", "q_key", "value")
     hits = join_lookup(who, criteria, [*per, "q_key", "value"], "inner").select(
-        "criterion", "respondent_id"
-    ).distinct()
-    met = hits.select("criterion").distinct()
-    unmet = criteria.select("criterion").distinct().join(met, "criterion", "left_anti")
-    return hits.unionByName(unmet.withColumn("respondent_id", F.lit(NONE)))
+        "criterion", "respondent_id", F.lit(True).alias("_hit")
+    )
+    asked = criteria.select("criterion").distinct().select(
+        "criterion", F.lit(None).cast("string").alias("respondent_id"), F.lit(False).alias("_hit")
+    )
+    criterion, respondent = F.col("criterion"), F.col("respondent_id")
+    told = hits.unionByName(asked).groupingSets([[criterion, respondent], [criterion]], criterion, respondent).agg(
+        F.max("_hit").alias("_hit"), F.grouping("respondent_id").alias("_all")
+    )
+    found = told.filter(F.col("_hit") == (F.col("_all") == 0))
+    return found.select("criterion", F.when(F.col("_all") == 1, NONE).otherwise(respondent).alias("respondent_id"))
 
 
 def answer_text(found: DataFrame, by: Sequence[str], column: str = "respondent_id") -> DataFrame:

@@ -321,9 +321,12 @@ def q1_case(spark, sf_dir):
 )
 def q2_case(spark, sf_dir):
     answers = survey.of_cases(_case_answers(spark, sf_dir), "ttl")
-    criteria = answers.select(*_CASE_KEY).distinct().withColumns(
-        {"criterion": F.col("case_id"), "q_key": F.lit("Segment"), "value": F.lit("building")}
-    )
+    # the questions asked of each case, which don't come from its text
+    criteria = table(spark, sf_dir, "customer").select(
+        F.lit("customers").alias("dataset"),
+        F.lit("answer_lookup").alias("task"),
+        fixtures.text("case_", F.col("c_custkey")).alias("case_id"),
+    ).withColumns({"criterion": F.col("case_id"), "q_key": F.lit("Segment"), "value": F.lit("building")})
     found = survey.reverse_lookup(answers, criteria, survey.CASE)
     return survey.answer_text(found, ["criterion"]).withColumnRenamed("criterion", "case_id")
 

@@ -87,14 +87,27 @@ def _said(documents: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {"_links": F.filter("_triples", lambda t: t["predicate"] == GROUP_LINK), "_said": said}
     ).withColumn("_subjects", F.array_distinct(F.transform("_said", lambda t: t["subject"])))
-    spread = rows.select(*DOCUMENT, "_links", "_subjects", F.posexplode("_said").alias("pos", "_t"))
-    node = F.col("_t.subject")
-    owners = F.array_distinct(
-        F.transform(F.filter("_links", lambda t: t["object"] == node), lambda t: t["subject"])
+
+    def owners(node: Column) -> Column:
+        return F.array_distinct(
+            F.transform(F.filter("_links", lambda t: t["object"] == node), lambda t: t["subject"])
+        )
+
+    # looked up once a subject, before rows are spread: filters on the result can't repeat it
+    known = F.transform("_subjects", lambda s: F.struct(s.alias("node"), owners(s).alias("owners")))
+    at = lambda t: F.array_position("_subjects", t["subject"]).cast("int")
+    spread = rows.withColumn("_known", known).select(
+        *DOCUMENT,
+        "_subjects",
+        F.posexplode(
+            F.transform("_said", lambda t: F.struct(t.alias("t"), F.element_at("_known", at(t))["owners"].alias("owners")))
+        ).alias("pos", "_s"),
+    )
+    named = F.rtrim(F.regexp_extract(F.col("_s.t.subject"), NODE, 0), F.lit("_"))
+    loose = (F.size("_s.owners") == 0) & F.array_contains("_subjects", named)
+    return spread.select(
+        *DOCUMENT, "pos", F.col("_s.t").alias("_t"), F.col("_s.owners").alias("_owners"), loose.alias("_loose")
     )
-    named = F.rtrim(F.regexp_extract(node, NODE, 0), F.lit("_"))
-    loose = (F.size("_owners") == 0) & F.array_contains("_subjects", named)
-    return spread.withColumn("_owners", owners).withColumn("_loose", loose).drop("_links", "_subjects")
 
 
 def answers(documents: DataFrame) -> DataFrame:
