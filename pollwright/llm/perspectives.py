@@ -24,11 +24,11 @@ NOBODY = "unknown"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
-def header(speaker: Column, perspective: Column) -> Column:
+def header(speaker: Column, own: Column) -> Column:
     role = (
         F.when(speaker == SYSTEM, F.lit(SYSTEM))
-        .when(speaker == perspective, F.lit("assistant"))
-        .otherwise(F.concat(F.lit("user name="), speaker))
+        .when(own, F.lit("assistant"))
+        .otherwise(F.concat(F.lit("user name="), F.coalesce(speaker, F.lit(NOBODY))))
     )
     return F.concat(F.lit(OPEN), role, F.lit("\n"))
 
@@ -50,7 +50,8 @@ def rotate(
 
     Turns are ordered by number, speaker and text, nulls first; repeated rows stay. A
     speaker ``system`` is no participant, nor is null, whose turns are those of
-    a user named ``unknown``. A null text is empty. Turns without conversation
+    a user named ``unknown``, also where a participant has that name. Marks inside texts
+    and names stay as they are. A null text is empty. Turns without conversation
     id are left out, and a conversation without participants gives no rows.
     Other columns are left out.
     """
@@ -69,12 +70,13 @@ def rotate(
     numbered = dealt.withColumn("_n", F.row_number().over(order) - 1).withColumn(
         "piece", F.floor(F.col("_n") / PART_TURNS)
     )
-    speaker = F.coalesce("_speaker", F.lit(NOBODY))
+    # header and span follow one flag; a turn without speaker is nobody's own, whatever participants are called
+    own = F.coalesce(F.col("_speaker") == F.col("perspective"), F.lit(False))
     message = F.struct(
         "_n",
-        header(speaker, F.col("perspective")).alias("head"),
+        header(F.col("_speaker"), own).alias("head"),
         F.concat(F.coalesce("_text", F.lit("")), F.lit(CLOSE)).alias("body"),
-        F.coalesce(F.col("_speaker") == F.col("perspective"), F.lit(False)).alias("own"),
+        own.alias("own"),
     )
     parts = numbered.groupBy("conv_id", "perspective", "block", "piece").agg(
         F.array_sort(F.collect_list(message)).alias("_m")

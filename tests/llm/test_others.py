@@ -255,6 +255,17 @@ def test_perspectives(spark):
     assert perspectives.rotate(turns.limit(0)).count() == 0
 
 
+def test_turns_without_speaker_are_not_those_of_a_participant_called_unknown(spark):
+    rows = [(1, 0, "unknown", "mine"), (1, 1, None, "nobody's"), (1, 2, "ann", "hers")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (row,) = perspectives.rotate(turns).filter("perspective = 'unknown'").collect()
+    assert row["text"] == (
+        "<|im_start|>assistant\nmine<|im_end|>\n<|im_start|>user name=unknown\nnobody's<|im_end|>\n"
+        "<|im_start|>user name=ann\nhers<|im_end|>\n"
+    )
+    assert [row["text"][s["start"] : s["stop"]] for s in row["spans"]] == ["mine<|im_end|>"]
+
+
 def test_long_conversations_come_in_parts(spark):
     rows = [(1, t, f"s{t % 3}", str(t)) for t in range(200)] + [(2, 7, "a", str(i)) for i in range(150)]
     got = perspectives.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
