@@ -6,6 +6,7 @@ import html
 import itertools
 import os
 import random
+import time
 import re
 import subprocess
 import sys
@@ -350,3 +351,34 @@ def test_models_without_data(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     trees = extraction.learn(pages.limit(0))
     assert extraction.extract(pages.limit(3), trees).count() == 3
+
+
+@pytest.mark.parametrize(
+    ("page", "lines"),
+    [
+        ("<script src=/a/>var x=1;</script><p>two", ["two"]),
+        ("<script async />x</script>a", ["a"]),
+        ("<!--><p>two</p><!-- c -->", ["two"]),
+        ("<!---><p>two", ["two"]),
+        ("x<!--a--!>y", ["xy"]),
+        ("a<!-- b > c", ["a"]),
+        ("<!-- a >-->z", ["z"]),
+        ("<![CDATA[ x ><p>two</p>", ["two"]),
+        ("<p>a <a \"x", ["a <a \"x"]),
+        ("<a href=\"x>y", ["y"]),
+        ("<b><p><span>x</b>y", ["xy"]),
+        ("", []),
+    ],
+)
+def test_malformed_pages_end_as_in_html(page, lines):
+    assert [t for _, t in dom.parse(page)[1]] == lines
+
+
+@pytest.mark.parametrize("unit", ["<a \"x", "<span>x</b>", "<b><p><span></b>", "<div><option></option>", "<head>", "<a x=\"b>"])
+def test_broken_markup_takes_linear_time(unit):
+    def seconds(n: int) -> float:
+        start = time.process_time()
+        dom.parse(unit * n)
+        return time.process_time() - start
+
+    assert seconds(40_000) < 12 * seconds(8_000) + 0.5
