@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style template noscript iframe xmp textarea title svg object canvas".split())
@@ -256,13 +257,14 @@ def features(nodes: list[Node]) -> list[list[float]]:
     """A row for each block: element, attributes, depth, density, siblings, parent, place."""
     whole = max(1, nodes[0].total)
     rows = []
+    tags = {id(n): Counter(child.tag for child in n.children) for n in nodes if n.children}
     for n in nodes:
         up = n.parent or n
         beside = up.children if n.parent else [n]
         before = beside[n.place - 1] if n.place else None
         after = beside[n.place + 1] if n.place + 1 < len(beside) else None
         kind = KINDS.get(n.tag, N_KINDS - 1)
-        alike = sum(x.tag == n.tag for x in beside) if len(beside) < 200 else len(beside)
+        alike = tags[id(up)][n.tag] if n.parent else 1
         row = [0.0] * N_KINDS
         row[kind] = 1.0
         row += n.signs

@@ -119,6 +119,16 @@ def test_choices_do_not_contradict():
         assert worth(got) == pytest.approx(best)
 
 
+@pytest.mark.parametrize("times", [1, 60])
+def test_features_of_siblings_do_not_change_with_their_number(times):
+    nodes, _ = dom.parse("<div>" + "<p>a</p><p>b</p><ul><li>c</li></ul><h2>d</h2>" * times + "</div>")
+    beside = [i for i, n in enumerate(nodes) if n.parent is not None and n.parent.tag == "div"]
+    assert len(beside) == 4 * times
+    alike = dom.N_KINDS + 2 * len(dom.SIGNS) + 14
+    rows = dom.features(nodes)
+    assert [rows[i][alike] for i in beside] == [0.5, 0.5, 0.25, 0.25] * times
+
+
 def test_trees_learn_what_no_single_split_tells():
     dice = np.random.default_rng(0)
     x = dice.random((3000, 5))
