@@ -27,6 +27,9 @@ MODELS = [
     "plain-text-model",
 ]
 
+#: Tasks of rows that are dealt over the cores.
+TASKS_A_CORE = 4
+
 TEMPLATE = {
     "example": "<example>\n[CASE_1]\n</example>\n\n",
     "questionnaire": "<questionnaire>\n[Insert the full data block here]\n</questionnaire>\n\n",
@@ -42,6 +45,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal narrow rows evenly over the cores, before each becomes a text to be parsed.
+
+    A scan has at most a task for each row group, however much work a row makes.
+    """
+    return rows.repartition(TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def pick(values: list[str], index: Column) -> Column:
     """``values[index]`` for a zero-based index column."""
     return F.element_at(F.array(*map(F.lit, values)), index.cast("int") + 1)

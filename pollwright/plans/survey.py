@@ -211,7 +211,9 @@ def _survey_answers(key_form: str) -> str:
 
 
 def _customer_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, Column]]:
-    customers = table(spark, sf_dir, "customer")
+    customers = fixtures.spread(
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
+    )
     key = F.col("c_custkey")
     return customers, {
         "id": key,

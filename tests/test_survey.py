@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from pollwright.functions.questions import with_question_type
 from pollwright.operators import exchange, survey
+from pollwright.plans import survey as plans
 from pollwright.sources import markdown, turtle
 
 MARKDOWN = """# Survey Data
@@ -275,3 +276,14 @@ def test_queries_in_one_case(spark):
     assert survey.related_respondents(md, anchors, ["City"], per=survey.CASE).count() == 0
     rules = survey.rule_matches(md, [("City", F.col("value") == "x")], per=survey.CASE)
     assert {(r["case_id"], r["respondent_id"]) for r in rules.collect()} == {("case_1", "1"), ("case_1", "2"), ("case_2", "3")}
+
+
+def test_texts_of_one_row_group_are_dealt_over_all_cores(spark, tmp_path):
+    rows = [(k, f"n{k}", k % 25, float(k), "BUILDING") for k in range(400)] + [(7, "n7", 7, 7.0, "BUILDING"), (None,) * 5]
+    kinds = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    texts = plans.survey_texts(spark, str(tmp_path), plans.MARKDOWN_FORM, "md")
+    sizes = [n for n in texts.rdd.glom().map(len).collect() if n]
+    assert sum(sizes) == len(rows) and len(sizes) >= spark.sparkContext.defaultParallelism
+    assert max(sizes) < len(rows) / 2
+    assert markdown.answers(texts).filter("respondent_id = '7'").count() == 12
