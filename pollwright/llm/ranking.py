@@ -3,9 +3,10 @@
 A document of label 1 is preferred to one of label 0. The log odds of a
 preference are the difference of two scores, and a score is a sum over the
 features of a text, each cut into bins; its weights minimise the logistic loss on the
-differences of features of preference pairs. Several rankings, each from pairs
-of its own part of the sample, are fitted in parallel tasks and averaged. The
-threshold is the quantile of the scores below which the share of label 0 lies.
+differences of features of preference pairs. All labelled texts are dealt over parts;
+a ranking from the pairs of each is fitted in parallel tasks, and the rankings are averaged.
+The threshold is the quantile of the scores of all labelled texts below which the share of
+label 0 lies.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pollwright.llm.common import columns, sample, semi_join
+from pollwright.llm.common import columns, cut, small
 
-#: Bound of the training sample: labelled texts of either label.
-EACH_LABEL = 8000
+#: Labelled texts of a part, about, and the least number of parts.
+PART_TEXTS = 4000
 RANKINGS = 4
 BINS = 16
 #: Pairs a document of a part is in, full steps, step size, pull of the weights to zero.
@@ -179,12 +180,11 @@ def learn(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    each_label: int = EACH_LABEL,
+    part_texts: int = PART_TEXTS,
 ) -> Ranking:
-    """A ranking from labelled texts.
+    """A ranking from all labelled texts, in as many parts as have about ``part_texts`` each.
 
-    At most ``each_label`` ids of either label are taken, those of the smallest hash, with
-    their whole texts. Rows without id or label teach nothing, nor do ids with both
+    Rows without id or label teach nothing, nor do ids with both
     labels; a null text counts as empty. Without texts of both labels all scores
     are the share of label 1 (0.5 without any).
     """
@@ -197,9 +197,7 @@ def learn(
     )
     known = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}  # two rows
     share = known.get(0, 0) / max(1, sum(known.values()))
-    chosen = sample(marks.filter("label = 0"), "doc_id", each_label).unionByName(
-        sample(marks.filter("label = 1"), "doc_id", each_label)
-    )
+    parts = max(RANKINGS, -(-sum(known.values()) // part_texts))
     wide = f"doc_id long, label int, {', '.join(f'{f} double' for f in FEATURES)}"
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,8 +205,8 @@ def learn(
             rows = pd.DataFrame([features(t) for t in batch["text"]], columns=list(FEATURES))
             yield pd.concat([batch[["doc_id", "label"]].reset_index(drop=True), rows], axis=1)
 
-    rows = (
-        semi_join(texts, chosen.select("doc_id"), "doc_id").join(chosen, "doc_id")
+    rows = cut(
+        texts.join(small(marks), "doc_id")
         .select(F.col("doc_id").cast("long"), F.col("label").cast("int"), "text").mapInPandas(describe, wide)
     )
     spots = F.array(*(F.lit(k / BINS) for k in range(1, BINS)))
@@ -228,7 +226,7 @@ def learn(
             "weights": [fit(better, worse, edges, lot).tobytes()],
         })
 
-    lot = F.pmod(F.xxhash64("doc_id", F.lit("lot")), F.lit(RANKINGS)).alias("lot")
+    lot = F.pmod(F.xxhash64("doc_id", F.lit("lot")), F.lit(parts)).cast("int").alias("lot")
     fitted = (
         rows.select("*", lot).groupBy("lot").applyInPandas(rank, "lot int, usable boolean, weights binary")
         .filter("usable").collect()  # one row a ranking

@@ -253,6 +253,35 @@ def test_quality_without_and_with_odd_rows(spark):
     assert ranking.score(docs.limit(0), ranking.learn(docs, marks)).count() == 0
 
 
+def test_every_labelled_text_teaches(spark):
+    ids = spark.range(8_700).withColumnRenamed("id", "doc_id")
+    last = ids.filter("doc_id >= 300").orderBy(F.xxhash64("doc_id").desc()).limit(400).withColumn("late", F.lit(True))
+    marks = ids.select("doc_id", (F.col("doc_id") >= 300).cast("int").alias("quality"))
+    plain = F.concat(F.lit("Some words of text number "), F.col("doc_id").cast("string"), F.lit("."))
+    text = F.when(F.col("doc_id") < 300, "%% && %%").otherwise(plain)
+    docs = ids.join(last, "doc_id", "left")
+    same = ranking.learn(docs.select("doc_id", text.alias("text")), marks)
+    late = ranking.learn(docs.select("doc_id", F.when(F.col("late"), "% & %").otherwise(text).alias("text")), marks)
+    assert not np.array_equal(same.weights, late.weights) and same.threshold != late.threshold
+
+
+def test_parts_have_a_bounded_number_of_texts(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    fit = ranking.fit
+
+    def counted(better, worse, edges, seed):
+        seen.add(1)
+        assert len(better) + len(worse) < 100
+        return fit(better, worse, edges, seed)
+
+    monkeypatch.setattr(ranking, "STEPS", 2)
+    monkeypatch.setattr(ranking, "fit", counted)
+    ids = spark.range(600).withColumnRenamed("id", "doc_id")
+    docs = ids.select("doc_id", F.expr("if(doc_id % 2 = 0, 'A text.', '% & %')").alias("text"))
+    ranking.learn(docs, ids.select("doc_id", (1 - F.col("doc_id") % 2).alias("quality")), part_texts=50)
+    assert seen.value == 12
+
+
 def test_features_of_whole_texts():
     assert ranking.features(None) == ranking.features("") == ranking.features(" \n") == [0.0] * len(ranking.FEATURES)
     short = dict(zip(ranking.FEATURES, ranking.features("One two.\nOne two."), strict=True))
