@@ -10,7 +10,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from pollwright.llm import decontamination, jaccard, languages, passages, pieces, queries, toxicity
+from pollwright.llm import decontamination, jaccard, languages, passages, pieces, queries, surroundings, toxicity
 from tests.oracle_check import connect
 
 SF = "/root/testdata/sf0.01"
@@ -311,6 +311,71 @@ def test_passages_of_sentences_that_also_stand_alone_are_found(spark):
     assert missed(spark, dict(enumerate(bodies))) == {}
 
 
+def test_edited_passages_of_sentences_that_also_stand_alone_are_found(spark):
+    dice, bodies, wanted = random.Random(15), [], {}
+    for _ in range(6):
+        parts = [prose(dice, 20) for _ in range(4)]
+        edited = [["yy"] + p[1:10] + ["zz"] + p[11:] for p in parts]
+        alone = lambda ps: [prose(dice, 60) + p + prose(dice, 60) for p in ps]
+        # the first text and the one before that have a seed of the edited passage have one sentence of it
+        bodies += [*alone(edited), prose(dice, 30) + sum(parts, []) + prose(dice, 5), *alone(edited), *alone(edited)]
+        wanted[len(bodies)] = len(bodies) - 9
+        bodies.append(prose(dice, 7) + sum(edited, []) + prose(dice, 9))
+    found = {}
+    for r in passages.repeated_passages(texts(spark, [(i, " ".join(b)) for i, b in enumerate(bodies)])).collect():
+        found.setdefault(r["doc_id"], set()).add((r["source_id"], r["start"], r["stop"], r["source_start"], r["n_same"]))
+    assert found == {i: {(source, 8, 87, 31, 72)} for i, source in wanted.items()}
+
+
+def test_places_with_like_surroundings_are_compared():
+    import numpy as np
+
+    dice, side = np.random.default_rng(7), surroundings.SIDE
+    line, rows = dice.integers(0, 60_000, 9), []
+    for n in range(300):
+        words = dice.integers(0, 40_000, 2 * side)
+        words[side : side + 9] = line  # in all texts, beside the seed
+        if n % 3 and n > 30:
+            base = rows[dice.integers(len(rows))].copy()
+            base[dice.choice(2 * side, n % 25, replace=False)] = 50_000 + n
+            words = base
+        rows.append(words)
+    near = np.array(rows, np.uint16).reshape(-1, 2, side)
+    reach = np.minimum(dice.integers(20, 90, (300, 2)), side)
+    group, node, loose = np.arange(300) // 150, np.arange(300) % 150 // 2, dice.random(300) < 0.7
+    wanted = set()
+    for x, y in itertools.permutations(range(300), 2):
+        if group[x] != group[y] or node[y] >= node[x] or not loose[x]:
+            continue
+        same = (near[x] == near[y]) & (np.arange(side) < np.minimum(reach[x], reach[y])[:, None])
+        inside = [same[0, :w].sum() + same[1, : side - w].sum() for w in range(side + 1)]
+        if max(inside) >= side - surroundings.EDITS:
+            wanted.add((x, y))
+    found = set(map(tuple, surroundings.alike(group, node, loose, near, reach).tolist()))
+    assert len(wanted) > 100 and wanted <= found and len(found) < 3 * len(wanted)
+
+
+def test_comparing_lists_block_by_block_changes_no_pair(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    dice, width = np.random.default_rng(8), 2 + 2 * surroundings.SIDE
+    base, near = dice.integers(0, 60_000, (20, width)), []
+    for n in range(400):
+        words = base[n % 20].copy()
+        words[dice.choice(width, 10, replace=False)] = 60_000 + dice.integers(0, 5_000, 10)
+        words[:2] = surroundings.SIDE
+        near.append(words.astype(np.uint16).tobytes())
+    rows = pa.table({
+        "seed": np.repeat([1, 5, 9], [90, 300, 10]), "node": dice.integers(0, 200, 400),
+        "pos": pa.array(np.arange(400), pa.int32()), "loose": dice.random(400) < 0.5, "near": pa.array(near, pa.binary()),
+    })
+    pairs = lambda: {tuple(r.values()) for r in surroundings.compared(rows).to_pylist()}
+    plain = pairs()
+    monkeypatch.setattr(surroundings, "BLOCK_ROWS", 30)
+    assert pairs() == plain and len(plain) > 1000
+
+
 def test_repeated_lines_are_found(spark):
     dice, bodies, edited = random.Random(9), {}, {}
     for n in range(0, 20, 2):
