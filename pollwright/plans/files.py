@@ -17,11 +17,12 @@ from pollwright.plans.fixtures import table
 from pollwright.plans.oracle import ITEMS, document_keys, items as sql_list
 from pollwright.plans.registry import query
 from pollwright.sources import manifest, qa_items
+from pollwright.sources.manifest import file_system
 from pollwright.sources.ranges import shared_folder
 
 
 def _write(batches: Iterator[pd.DataFrame], address: str, form: tuple[str, str, str]) -> Iterator[pd.DataFrame]:
-    system, folder = manifest.file_system(address)
+    system, folder = file_system(address)
     known, out = None, None
 
     def close() -> None:

@@ -405,6 +405,22 @@ def test_splitting_lists_of_frequent_seeds_changes_no_row(spark, monkeypatch):
     assert set(passages.repeated_passages(docs).collect()) == plain and len(plain) > 100
 
 
+def test_lots_of_seeds_and_chains_change_no_row(spark, monkeypatch):
+    dice, passage = random.Random(16), None
+    bodies = []
+    for n in range(24):
+        passage = prose(dice, 60) if n % 6 == 0 else [w if dice.random() < 0.96 else "zz" for w in passage]
+        bodies.append((n - n % 5 // 4, " ".join(prose(dice, 15) + passage + prose(dice, 15))))
+    bodies += [(30, bodies[3][1]), (30, bodies[9][1]), (31, bodies[3][1])]  # one id with copies of two texts
+    docs = texts(spark, bodies)
+    plain = set(passages.repeated_passages(docs).collect())
+    monkeypatch.setattr(passages, "LOT_SEEDS", 0)
+    monkeypatch.setattr(passages, "LOT_CHAINS", 0)
+    monkeypatch.setattr(passages, "CHAIN_LOTS", 2)
+    monkeypatch.setattr(surroundings, "LOT_ROWS", 1)
+    assert set(passages.repeated_passages(docs).collect()) == plain and len(plain) > 20
+
+
 def test_share_of_edited_passages_found(spark):
     dice, rows, kinds = random.Random(14), [], {}
     vocabulary = prose(dice, 5000)
